@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import Workspace
@@ -15,8 +15,8 @@ BLOCK_ROWS = 1_000_000
 _ROW_BITS = 33
 
 
-def id_block(id_col: str):
-    return F.floor(F.col(id_col) / F.lit(BLOCK_ROWS)).cast("bigint")
+def id_block(id_col: str) -> Column:
+    return F.expr(f"{id_col} div {BLOCK_ROWS}")
 
 
 def dense_ids(

@@ -12,12 +12,23 @@ from corpusloom.sources.tables import Tables
 
 TEXT = ("title", "abstract")
 
+# Documents per counting task of a large index: about 10 MB of usual texts.
+_DOCUMENTS_PER_TASK = 8192
+
 
 def build_postings(documents: DataFrame, partitions: int | None = None) -> DataFrame:
     """(gram, doc_id, tf) over title and abstract of (id, title, abstract)."""
     return count_grams(documents, "id", TEXT, partitions)
 
 
+def _tasks(documents: DataFrame) -> int | None:
+    """Counting tasks for stored documents, from a row count that Parquet
+    footers answer; None leaves small tables to the session's setting."""
+    tasks = documents.count() // _DOCUMENTS_PER_TASK
+    usual = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tasks if tasks > usual else None
+
+
 def build_index(
     tables: Tables, mode: str = "overwrite", partitions: int | None = None
 ) -> None:
@@ -28,11 +39,13 @@ def build_index(
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
-    postings = build_postings(tables.documents(), partitions)
+    documents = tables.documents()
+    postings = build_postings(documents, partitions or _tasks(documents))
     tables.write_postings(postings, f"all-{uuid.uuid4().hex}", whole=mode == "overwrite")
 
 
 def index_load(tables: Tables, load_id: str, partitions: int | None = None) -> None:
     """Index only the documents one load has added; can be repeated."""
     added = tables.documents().where(F.col("load_id") == load_id)
-    tables.write_postings(build_postings(added, partitions), load_id, whole=False)
+    postings = build_postings(added, partitions or _tasks(added))
+    tables.write_postings(postings, load_id, whole=False)

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 
@@ -49,6 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of `schema`, known to be empty when a plan is optimised."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns).limit(0)
+
+
 class Workspace:
     """Intermediate tables of one job, written so that lost executors cost
     a re-read instead of a recomputation, and so that later joins see real
@@ -70,5 +78,5 @@ class Workspace:
     def clear(self) -> None:
         """Free the space of all saved tables; frames built on them end here."""
         for path, table in self._saved:
-            self.spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+            empty_frame(self.spark, table.schema).write.mode("overwrite").parquet(path)
         self._saved.clear()

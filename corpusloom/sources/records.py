@@ -40,13 +40,13 @@ def parse_records(raw: DataFrame) -> DataFrame:
     array that ends in the file's own digest: only when the file is exactly one
     JSON value does the digest come out as the second element.
     """
-    text = F.substring_index("value", "\0", 1)
-    wrapped = F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]'))
-    parsed = raw.select(
-        "file_path",
-        F.md5(text).alias("digest"),
-        F.when(F.is_valid_utf8(text), F.try_parse_json(wrapped)).alias("doc"),
-    )
+    texts = raw.select("file_path", F.substring_index("value", "\0", 1).alias("text"))
+    digested = texts.select("file_path", "text", F.md5("text").alias("digest"))
+    wrapped = F.concat(F.lit("["), "text", F.lit(',"'), "digest", F.lit('"]'))
+    doc = F.when(F.is_valid_utf8("text"), F.try_parse_json(wrapped))
+    # Generated rather than projected: a filter on the fields below then stays
+    # above the parse instead of having copies of it.
+    parsed = digested.select("file_path", "digest", F.explode(F.array(doc)).alias("doc"))
     doc = F.col("doc")
     whole = F.try_variant_get(doc, "$[1]", "string") == F.col("digest")
     fields = parsed.select(

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from corpusloom import schemas
 from corpusloom.operators.grams import gram_bucket
 from corpusloom.operators.keys import id_block
+from corpusloom.session import empty_frame
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,7 @@ class Tables:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
 
     def documents(self) -> DataFrame:
         return self.read("documents", schemas.DOCUMENTS)
@@ -109,7 +110,7 @@ class Tables:
 
     def release_dois(self) -> None:
         """Forget the DOIs of finished runs, as staging is cleared after a run."""
-        empty = self.spark.createDataFrame([], schemas.CLAIMED_DOIS)
+        empty = empty_frame(self.spark, schemas.CLAIMED_DOIS)
         empty.write.mode("overwrite").parquet(self.path("claimed_dois"))
 
     def counts(self) -> DataFrame:
