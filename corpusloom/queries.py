@@ -88,8 +88,8 @@ def streamed(spark: SparkSession, sf_dir: str) -> Tables:
 
     def fill(tables: Tables) -> None:
         folder = tables.path("files")
-        files = article_json(spark, sf_dir).select("file_path", "value")
-        files.write.partitionBy("file_path").text(folder)
+        files = article_json(spark, sf_dir).select("value")
+        files.write.option("maxRecordsPerFile", 1).text(folder)
         ingest_stream(tables, folder, tables.path("checkpoint"), files_per_batch=600)
 
     return _once(spark, sf_dir, "streamed", fill)
@@ -145,11 +145,12 @@ def search_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gram_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     grams = explode_grams(table(spark, sf_dir, "documents"), "doc_id", ["text"])
-    return grams.groupBy("doc_id").agg(
+    codes = grams.select("doc_id", _gram_code("gram").alias("code"))
+    return codes.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("grams"),
-        F.sum(_gram_code("gram")).alias("code_sum"),
-        F.min(_gram_code("gram")).alias("code_min"),
-        F.max(_gram_code("gram")).alias("code_max"),
+        F.sum("code").alias("code_sum"),
+        F.min("code").alias("code_min"),
+        F.max("code").alias("code_max"),
     )
 
 
