@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import explode_authors, first_files
-from corpusloom.operators.keys import dense_ids
+from corpusloom.operators.keys import dense_ids, id_block
 from corpusloom.operators.lookup import absent, stored_already
 from corpusloom.session import Workspace
 from corpusloom.sources.records import accepted
@@ -60,10 +60,10 @@ def normalize(
     """
     records = work.save(records, "records")
     good = accepted(records)
-    winners = first_files(good)
+    winners = work.save(first_files(good), "first-files")
     if claimed is not None:
-        winners = absent(winners, claimed, ["doi"])
-    winners = work.save(winners, "winners")
+        taken = stored_already(claimed, winners, ["doi"])
+        winners = work.save(absent(winners, taken, ["doi"]), "winners")
 
     known = stored_already(documents.select("doi", "id"), winners, ["doi"])
     known = work.save(known.select("doi", F.col("id").alias("document_id")), "known-documents")
@@ -97,8 +97,10 @@ def normalize(
         .join(author_ids.withColumnRenamed("id", "author_id"), NAME)
         .select("document_id", "author_id", "author_order")
     )
-    kept = stored_already(
-        relations.select("document_id", "author_id"), known, ["document_id"]
-    )
+    on = ["document_id"]
+    if "id_block" in relations.columns:
+        known = known.withColumn("id_block", id_block("document_id"))
+        on = ["id_block", "document_id"]
+    kept = stored_already(relations, known, on)
     new_relations = absent(linked, kept, ["document_id", "author_id"])
     return Load(records, winners, listed, new_documents, new_authors, new_relations)
