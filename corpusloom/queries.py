@@ -143,22 +143,25 @@ def search_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- grams and index
 
 
-def gram_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = explode_grams(table(spark, sf_dir, "documents"), "doc_id", ["text"])
-    codes = grams.select("doc_id", _gram_code("gram").alias("code"))
+def _gram_sums(postings: DataFrame) -> DataFrame:
+    """Per document: grams with repeats, and sums and bounds of their codes."""
+    codes = postings.select("doc_id", "tf", _gram_code("gram").alias("code"))
     return codes.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("grams"),
-        F.sum("code").alias("code_sum"),
+        F.sum("tf").alias("grams"),
+        F.sum(F.col("code") * F.col("tf")).alias("code_sum"),
         F.min("code").alias("code_min"),
         F.max("code").alias("code_max"),
     )
 
 
+def gram_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gram_sums(count_grams(table(spark, sf_dir, "documents"), "doc_id", ["text"]))
+
+
 def field_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title and abstract apart, straight from the windows."""
     grams = explode_grams(corpus(spark, sf_dir), "id", ["title", "abstract"])
-    return grams.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("grams"), F.sum(_gram_code("gram")).alias("code_sum")
-    )
+    return _gram_sums(grams.withColumn("tf", F.lit(1).cast("bigint")))
 
 
 def postings_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
