@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from corpusloom.fixtures import corpus, records, table
 from corpusloom.functions import text as tx
 from corpusloom.operators.dedup import explode_authors, first_files, first_relations
