@@ -34,6 +34,20 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN per USING (doc_id)
 """
 
+OP8 = r"""
+WITH ids AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls
+             FROM documents),
+l AS (SELECT r, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM ids),
+k AS (SELECT r, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+common AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, count(*) AS n_lines, count(common.key) AS n_dropped,
+                coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.key IS NULL), '') AS kept_text
+         FROM k LEFT JOIN common USING (key) GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256 FROM kept JOIN ids USING (r)
+"""
+
 LLM_ORACLE = {
     "op5_secret_scan": OP5,
+    "op8_line_dedup": OP8,
 }

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import secrets
+from corpusloom.llm import lines, secrets
 from corpusloom.session import shared_folder
 
 
@@ -33,6 +33,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more of them share."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = lines.drop_common_lines(documents, "text", threshold=10, min_chars=1)
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
 LLM_QUERIES = {
     "op5_secret_scan": op5_secret_scan,
+    "op8_line_dedup": op8_line_dedup,
 }
