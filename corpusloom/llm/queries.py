@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lines, secrets
+from corpusloom.llm import lines, packing, secrets
 from corpusloom.session import shared_folder
 
 
@@ -15,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(documents, path).withColumnRenamed("id", "doc_id")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents scanned into a new ledger, findings joined back to each of them."""
     documents = table(spark, sf_dir, "documents")
@@ -42,6 +50,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op5_secret_scan": op5_secret_scan,
     "op8_line_dedup": op8_line_dedup,
 }
