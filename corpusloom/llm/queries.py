@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lines, packing, secrets
+from corpusloom.llm import decontaminate, lines, packing, secrets
 from corpusloom.session import shared_folder
 
 
@@ -49,8 +49,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the overlaps."""
+    documents = table(spark, sf_dir, "documents")
+    return decontaminate.matches(documents, table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 LLM_QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_secret_scan": op5_secret_scan,
     "op8_line_dedup": op8_line_dedup,
+    "op10_decontamination": op10_decontamination,
 }
