@@ -12,8 +12,10 @@ texts at once:
   terms that cannot reach the threshold together are set aside, and only
   the postings of the remaining (pivot) terms are opened.
 * Postings are cut into blocks of items with the largest weight of each; blocks
-  whose bounds, with what was set aside, stay below the threshold are skipped.
-* Items of the blocks left are scored exactly from their own terms.
+  whose bounds, with what terms set aside can add there, stay below the
+  threshold are skipped.
+* Items of the blocks left are bounded once more by their own weights, and then
+  scored exactly from their own terms.
 
 A retrieved item is verified on runs of `gram` words of the item that the
 passage holds too: of the question (all but the last sentence), of the answer
@@ -24,8 +26,8 @@ Documents are only mapped, nothing of them is shuffled. The index is sent to all
 tasks, so the items go through in slices of at most `SLICE_CHARS` characters of
 text, whose number follows the size of the test set.
 
-Words are runs of ASCII letters and digits and of bytes above 127, A-Z
-lower-cased. Defined results: null texts are empty; a document or item without words
+Texts are lower-cased; words are runs of ASCII letters and digits and of other
+characters than ASCII. Defined results: null texts are empty; a document or item without words
 matches nothing; equal items are reported one by one; null ids are carried
 along; empty tables give no rows; other columns of the input are ignored unless
 asked for.
@@ -39,16 +41,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corpusloom.llm.textbytes import Prefixes, lowered, shingles, text_slices
+from corpusloom.llm.textbytes import Prefixes, shingles, text_slices
 
 PART_WORDS = 64
 SLICE_CHARS = 4_000_000
 BLOCK_ITEMS = 16
+#: Ceilings for which it is kept what a part's terms below them add up to.
+LEVELS = 64
+#: Cells of the largest array of sums over passages and parts.
+SUMS = 2_000_000
 K1, B = 1.2, 0.75
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -65,11 +72,11 @@ def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     before = np.concatenate([[False], inside[:-1]])
     start = np.flatnonzero(inside & (~before | edge))
     stop = np.flatnonzero(before & (~inside | edge))
-    return Prefixes(lowered(data), 21).range(start, stop), np.searchsorted(start, offsets)
+    return Prefixes(data, 21).range(start, stop), np.searchsorted(start, offsets)
 
 
 def _words(text: str) -> np.ndarray:
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    data = np.frombuffer(pc.utf8_lower(text).as_py().encode(), dtype=np.uint8)
     return term_hashes(data, np.array([0, len(data)]))[0]
 
 
@@ -126,11 +133,21 @@ class Index:
         first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
         self.block_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.block_of = part[first] // BLOCK_ITEMS if len(first) else first
+        self.post_of = np.append(first, len(part))
         self.block_at = np.searchsorted(term[first], np.arange(len(self.terms) + 1)) if len(first) else np.zeros(1, np.int64)
         # The terms of each part, for exact scores.
         order = np.argsort(part, kind="stable")
         self.own_term, self.own_weight = term[order], self.weight[order]
         self.own_at = np.searchsorted(part[order], np.arange(len(words) + 1))
+        # What terms up to each of some ceilings add to a part, and to any part of a block.
+        self.levels = np.quantile(self.ceiling, np.linspace(0, 1, LEVELS)) if len(self.terms) else np.zeros(LEVELS)
+        level = np.searchsorted(self.levels, self.ceiling[term])
+        blocks = len(words) // BLOCK_ITEMS + 1
+        low = np.bincount(level * len(words) + part, weights=self.weight, minlength=LEVELS * len(words))
+        self.low = np.cumsum(low.reshape(LEVELS, len(words)), axis=0)
+        padded = np.zeros((LEVELS, blocks * BLOCK_ITEMS))
+        padded[:, : len(words)] = self.low
+        self.block_low = padded.reshape(LEVELS, blocks, BLOCK_ITEMS).max(axis=2)
         # A first look at 16 bits of a hash spares most words the binary search.
         self.seen = np.zeros(1 << 16, dtype=bool)
         self.seen[self.terms >> np.uint64(48)] = True
@@ -189,33 +206,43 @@ def retrieve(index: Index, hashes: np.ndarray, splits: np.ndarray, least: float)
     base = np.repeat(running[new] - bound[new], np.diff(np.append(new, len(window))))
     pivot = running - base >= least - eps
     aside = np.bincount(window[~pivot], weights=bound[~pivot], minlength=first[-1])
+    weakest = np.zeros(first[-1])
+    np.maximum.at(weakest, window[~pivot], bound[~pivot])
+    level = np.minimum(np.searchsorted(index.levels, weakest), LEVELS - 1)
     window, term = window[pivot], term[pivot]
-    # Blocks of the pivot terms' postings, bounded together per passage.
-    starts, counts = index.block_at[term], index.block_at[term + 1] - index.block_at[term]
-    owner, place = _spread(starts, counts)
-    width = int(index.block_of.max()) + 1
-    key = window[owner] * width + index.block_of[place]
-    unique, inverse = np.unique(key, return_inverse=True)
-    ceiling = np.bincount(inverse, weights=index.block_max[place]) + aside[unique // width]
-    open_ = unique[ceiling >= least - eps]
-    if not len(open_):
-        return none
-    # Parts with a pivot term in an open block, bounded once more, then scored exactly.
-    starts, counts = index.post_at[term], index.post_at[term + 1] - index.post_at[term]
-    owner, place = _spread(starts, counts)
-    part = index.post_part[place]
-    block = window[owner] * width + part // BLOCK_ITEMS
-    near = np.minimum(np.searchsorted(open_, block), len(open_) - 1)
-    inside = open_[near] == block
+    # A run of passages at a time, so that the sums below stay small arrays.
     parts = len(index.part_of)
-    unique, inverse = np.unique(window[owner][inside] * parts + part[inside], return_inverse=True)
-    ceiling = np.bincount(inverse, weights=index.weight[place][inside]) + aside[unique // parts]
-    unique = unique[ceiling >= least - eps]
+    width = parts // BLOCK_ITEMS + 1
+    near: list[np.ndarray] = []
+    run = max(1, SUMS // (width * BLOCK_ITEMS))
+    cuts = np.searchsorted(window, np.arange(0, first[-1] + run, run))
+    for low, a, b in zip(range(0, first[-1], run), cuts, cuts[1:], strict=False):
+        own_term, own_window = term[a:b], window[a:b] - low
+        n = min(run, first[-1] - low)
+        # At most what was set aside in all, and what such weak terms add to the part.
+        rest, own_level = aside[low : low + n, None], level[low : low + n]
+        block_rest = np.minimum(rest, index.block_low[own_level]).ravel()
+        part_rest = np.minimum(rest, index.low[own_level]).ravel()
+        # Blocks of the pivot terms' postings, bounded together per passage.
+        starts, counts = index.block_at[own_term], index.block_at[own_term + 1] - index.block_at[own_term]
+        owner, place = _spread(starts, counts)
+        cell = own_window[owner] * width + index.block_of[place]
+        ceiling = np.bincount(cell, weights=index.block_max[place], minlength=n * width)
+        live = (ceiling > 0) & (ceiling + block_rest >= least - eps)
+        # Parts with a pivot term in a live block, bounded once more.
+        kept = live[cell]
+        owner, place = owner[kept], place[kept]
+        owner2, place = _spread(index.post_of[place], index.post_of[place + 1] - index.post_of[place])
+        cell = own_window[owner[owner2]] * parts + index.post_part[place]
+        ceiling = np.bincount(cell, weights=index.weight[place], minlength=n * parts)
+        near.append(np.flatnonzero((ceiling > 0) & (ceiling + part_rest >= least - eps)) + low * parts)
+    # What is left is scored exactly.
+    unique = np.concatenate([*near, np.zeros(0, np.int64)])
     window, part = unique // parts, unique % parts
     owner, place = _spread(index.own_at[part], index.own_at[part + 1] - index.own_at[part])
     key = window[owner] * len(index.terms) + index.own_term[place]
-    near = np.minimum(np.searchsorted(held, key), len(held) - 1)
-    score = np.bincount(owner, weights=np.where(held[near] == key, index.own_weight[place], 0.0), minlength=len(window))
+    at = np.minimum(np.searchsorted(held, key), len(held) - 1)
+    score = np.bincount(owner, weights=np.where(held[at] == key, index.own_weight[place], 0.0), minlength=len(window))
     good = score >= least - eps
     window, part, score = window[good], part[good], score[good]
     text = np.searchsorted(first, window, side="right") - 1
@@ -272,7 +299,7 @@ def matches(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                for first, data, offsets in text_slices(batch.column(0)):
+                for first, data, offsets in text_slices(pc.utf8_lower(batch.column(0))):
                     found = find(index, data, offsets, least_score, least_overlap)
                     if not found:
                         continue
@@ -308,7 +335,7 @@ def clean(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
-                for first, data, offsets in text_slices(batch.column(at)):
+                for first, data, offsets in text_slices(pc.utf8_lower(batch.column(at))):
                     for t, _ in find(shared.value, data, offsets, least_score, least_overlap):
                         keep[first + t] = False
                 yield batch.filter(pa.array(keep))
