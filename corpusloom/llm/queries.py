@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, lines, packing, secrets
+from corpusloom.llm import decontaminate, lines, packing, secrets, toxicity
 from corpusloom.session import shared_folder
 
 
@@ -23,6 +23,19 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, path).withColumnRenamed("id", "doc_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by a model learned from labels outside the held-out fold."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents scanned into a new ledger, findings joined back to each of them."""
     documents = table(spark, sf_dir, "documents")
@@ -57,6 +70,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op5_secret_scan": op5_secret_scan,
     "op8_line_dedup": op8_line_dedup,
     "op10_decontamination": op10_decontamination,
