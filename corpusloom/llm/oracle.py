@@ -47,7 +47,24 @@ kept AS (SELECT r, count(*) AS n_lines, count(common.key) AS n_dropped,
 SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256 FROM kept JOIN ids USING (r)
 """
 
+# The digest in base32: 160 bits as 32 groups of five.
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS hex FROM p),
+bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+             right(bin(16 + instr('0123456789abcdef', hex[i]) - 1), 4)), '') AS b FROM d),
+e AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * b[5*i+1]::INT + 8 * b[5*i+2]::INT
+             + 4 * b[5*i+3]::INT + 2 * b[5*i+4]::INT + b[5*i+5]::INT]), '') AS payload_digest FROM bits),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS top FROM e)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM m
+"""
+
 LLM_ORACLE = {
     "op5_secret_scan": OP5,
+    "op7_warc": OP7,
     "op8_line_dedup": OP8,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, lines, packing, secrets, toxicity
+from corpusloom.llm import decontaminate, lines, packing, secrets, toxicity, warc
 from corpusloom.session import shared_folder
 
 
@@ -54,6 +54,21 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through ARC files and their conversion, as read back from the WARC files."""
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(spark)
+    warc.write_arc(pages, "page_id", "url", "html", f"{folder}/arc")
+    warc.convert(spark, f"{folder}/arc", f"{folder}/warc")
+    return warc.read_warc(spark, f"{folder}/warc").select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more of them share."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +87,7 @@ LLM_QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
