@@ -31,6 +31,7 @@ row by row; other columns are kept, but one named like a result is replaced.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -55,6 +56,8 @@ LEAST_TEXTS = 20
 DECAY = 1.0
 RATE = 0.02
 WORDS_KEPT = 400_000
+#: Ranges summed at a time while training, which bounds the driver's memory.
+GATHERED = 20_000
 
 _WORD = re.compile(r"\w+")
 
@@ -120,9 +123,13 @@ class Model:
         self.__post_init__()
 
 
-def _gather(splits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of `values` over consecutive ranges; every range has a value."""
-    return np.add.reduceat(values, splits[:-1], axis=0)
+def _gather(splits: np.ndarray, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Sums of `rows[places]` over consecutive ranges of places, none of them empty."""
+    out = np.empty((len(splits) - 1, *rows.shape[1:]), dtype=rows.dtype)
+    for low in range(0, len(out), GATHERED):
+        own = splits[low : low + GATHERED + 1]
+        out[low : low + GATHERED] = np.add.reduceat(rows[places[own[0] : own[-1]]], own[:-1] - own[0], axis=0)
+    return out
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
@@ -132,37 +139,42 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     if not 0 < share < 1:
         return Model(np.zeros((BUCKETS, WIDTH)), np.zeros(WIDTH), 40.0 if share else -40.0)
     number: dict[str, int] = {}
-    word_ids, seg_splits, seg_text = [], [0], []
+    word_ids, row_ids, row_splits = array("i"), array("i"), array("q", [0])
+    seg_splits, seg_text = array("q", [0]), array("i")
+    # Texts that hold each row: a subword of few texts tells the text, not the class.
+    spread = np.zeros(BUCKETS, dtype=np.int64)
     for i, text in enumerate(texts):
-        ids = [number.setdefault(w, len(number)) for w in words_of(text)]
+        ids = []
+        for w in words_of(text):
+            if w not in number:
+                number[w] = len(number)
+                row_ids.extend(subwords(w))
+                row_splits.append(len(row_ids))
+            ids.append(number[w])
+        held = set()
+        for w in set(ids):
+            held.update(row_ids[row_splits[w] : row_splits[w + 1]])
+        spread[list(held)] += 1
         for start in segment_starts(len(ids)):
             own = ids[start : start + SEGMENT]
             if own:
                 word_ids.extend(own)
                 seg_splits.append(len(word_ids))
                 seg_text.append(i)
-    word_ids, seg_splits, seg_text = (np.array(x, dtype=np.int64) for x in (word_ids, seg_splits, seg_text))
-    rows = [subwords(w) for w in number]
-    row_splits = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-    row_ids = np.fromiter((x for r in rows for x in r), dtype=np.int64, count=row_splits[-1])
+    word_ids, row_ids, row_splits, seg_splits, seg_text = map(np.array, (word_ids, row_ids, row_splits, seg_splits, seg_text))
+    n_words = len(row_splits) - 1
     row_share = 1.0 / np.diff(row_splits)
     seg_share = STRETCH / np.diff(seg_splits)
     target = labels_[seg_text]
     # The same sums by row and by word, for the gradients.
     by_row = np.argsort(row_ids, kind="stable")
     used, row_first = np.unique(row_ids[by_row], return_index=True)
-    word_of_row = np.repeat(np.arange(len(rows)), np.diff(row_splits))[by_row]
+    word_of_row = np.repeat(np.arange(n_words, dtype=np.int32), np.diff(row_splits))[by_row]
     by_word = np.argsort(word_ids, kind="stable")
     word_first = np.unique(word_ids[by_word], return_index=True)[1]
-    seg_of_word = np.repeat(np.arange(len(seg_text)), np.diff(seg_splits))[by_word]
+    seg_of_word = np.repeat(np.arange(len(seg_text), dtype=np.int32), np.diff(seg_splits))[by_word]
+    del by_row, by_word
 
-    # Texts that hold each row: a subword of few texts tells the text, not the class.
-    text_word = np.unique(np.repeat(seg_text, np.diff(seg_splits)) * len(rows) + word_ids)
-    texts_of, words_in = text_word // len(rows), text_word % len(rows)
-    counts = np.diff(row_splits)[words_in]
-    begin = np.repeat(row_splits[words_in] - (np.cumsum(counts) - counts), counts)
-    pairs = np.unique(np.repeat(texts_of, counts) * BUCKETS + row_ids[begin + np.arange(len(begin))])
-    spread = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
     free = (spread[used] >= LEAST_TEXTS).astype(np.float32)[:, None]
 
     random = np.random.Generator(np.random.PCG64(seed))
@@ -178,8 +190,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         return value - RATE * (moment[0] / (1 - 0.9**turn)) / (np.sqrt(moment[1] / (1 - 0.98**turn)) + 1e-7)
 
     for turn in range(1, EPOCHS + 1):
-        word_vec = _gather(row_splits, table[row_ids]) * row_share[:, None].astype(np.float32)
-        seg_vec = _gather(seg_splits, word_vec[word_ids]) * seg_share[:, None].astype(np.float32)
+        word_vec = _gather(row_splits, table, row_ids) * row_share[:, None].astype(np.float32)
+        seg_vec = _gather(seg_splits, word_vec, word_ids) * seg_share[:, None].astype(np.float32)
         logit = seg_vec @ weights + bias
         error = ((1 / (1 + np.exp(-logit)) - target)).astype(np.float32)
         grad_weights = seg_vec.T @ error + 1e-3 * weights
@@ -190,7 +202,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         weights = step(weights, grad_weights, moments[1], turn)
         bias = step(bias, np.array([error.sum()], dtype=np.float32), moments[2], turn)[0]
     model = Model(table, weights, float(bias))
-    model.kept = dict(zip(number, (_gather(row_splits, model.rows[row_ids]) * row_share).tolist(), strict=True))
+    model.kept = dict(zip(number, (_gather(row_splits, model.rows, row_ids) * row_share).tolist(), strict=True))
     highest = np.array([model.logits(t).max() for t in texts])
     # Texts that training saw look better apart than they are: the threshold stands
     # between the classes where the smoothed count of errors is least.
