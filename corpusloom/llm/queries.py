@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, lines, packing, secrets, toxicity, warc
+from corpusloom.llm import decontaminate, extract, lines, packing, secrets, toxicity, warc
 from corpusloom.session import shared_folder
 
 
@@ -54,6 +54,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages through ARC files and their conversion, as read back from the WARC files."""
     pages = table(spark, sf_dir, "pages")
@@ -87,6 +93,7 @@ LLM_QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op6_html_extraction": op6_html_extraction,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op10_decontamination": op10_decontamination,
