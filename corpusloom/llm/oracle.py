@@ -63,7 +63,18 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
+OP4 = """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT r, vec_id, list_transform(v, lambda x: floor(256 * x::DOUBLE)) AS v FROM e),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM w q JOIN w c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5
+"""
+
 LLM_ORACLE = {
+    "op4_exact_topk": OP4,
     "op5_secret_scan": OP5,
     "op7_warc": OP7,
     "op8_line_dedup": OP8,

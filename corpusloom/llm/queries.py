@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, lines, packing, secrets, toxicity, warc
+from corpusloom.llm import decontaminate, extract, lines, packing, secrets, topk, toxicity, warc
 from corpusloom.session import shared_folder
 
 
@@ -36,6 +36,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products for each vector whose id is divisible by 50."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    return topk.top_k(embeddings, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents scanned into a new ledger, findings joined back to each of them."""
     documents = table(spark, sf_dir, "documents")
@@ -92,6 +98,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
+    "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_html_extraction": op6_html_extraction,
     "op7_warc": op7_warc,
