@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, lines, packing, secrets, topk, toxicity, warc
+from corpusloom.llm import decontaminate, extract, jaccard, lines, packing, secrets, topk, toxicity, warc
 from corpusloom.session import shared_folder
 
 
@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class that links of similarity 0.8 or more join it to."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.link(documents).select(
+        F.col("id").alias("doc_id"), "class_id", "copies", "n_links"
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +104,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_exact_topk": op4_exact_topk,
