@@ -295,6 +295,37 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
     signed = work.save(
         rows.mapInArrow(_signed, f"row long, id {kind}, key binary, words long, signature binary, text string"), "signed"
     )
+    found = _linked(signed, threshold, work)
+    least = found.groupBy("label").agg(F.min("id").alias("class_id"))
+    found = found.join(least, "label").select(
+        "key", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
+    return signed.select("id", "key").join(found, "key").drop("key")
+
+
+def first_of_classes(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """Of each class of linked rows the one with the least id (null ids last), whole."""
+    work = Workspace(documents.sparkSession)
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    plain = documents.toDF(*names)
+    at, identity = documents.columns.index(text), f"c{documents.columns.index(doc_id)}"
+    numbered = work.save(plain.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col(identity).isNull().alias("unnamed"), F.col(identity).alias("name"), "number")
+    rows = numbered.select(F.col(f"c{at}").cast("string"), key.alias("id"))
+    kind = rows.schema["id"].dataType.simpleString()
+    signed = work.save(
+        rows.mapInArrow(_signed, f"row long, id {kind}, key binary, words long, signature binary, text string"), "signed"
+    )
+    chosen = _linked(signed, threshold, work).groupBy("label").agg(F.min("id").alias("id"))
+    return numbered.join(chosen.select(F.col("id.number").alias("number")), "number", "left_semi").drop("number").toDF(
+        *documents.columns
+    )
+
+
+def _linked(signed: DataFrame, threshold: float, work: Workspace) -> DataFrame:
+    """Classes of equal words (key, id, copies) with their group's `label` and their `links`."""
     classes = work.save(
         signed.groupBy("key").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.count("*").alias("copies")), "classes"
     )
@@ -319,10 +350,4 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
     links = verified.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     groups = components(verified.where("b IS NOT NULL").select("a", "b"), work)
     found = classes.select("key", "id", "copies").join(groups.withColumnRenamed("node", "key"), "key", "left")
-    found = found.withColumn("label", F.coalesce("label", "key"))
-    least = found.groupBy("label").agg(F.min("id").alias("class_id"))
-    found = found.join(least, "label").join(links, "key", "left")
-    found = found.select(
-        "key", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
-    return signed.select("id", "key").join(found, "key").drop("key")
+    return found.withColumn("label", F.coalesce("label", "key")).join(links, "key", "left")

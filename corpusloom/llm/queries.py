@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, jaccard, lines, packing, secrets, topk, toxicity, warc
+from corpusloom.llm import decontaminate, extract, jaccard, lines, packing, secrets, suffixes, topk, toxicity, warc
 from corpusloom.session import shared_folder
 
 
@@ -97,6 +97,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 200-byte strings that start at two places."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(documents).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and the overlaps."""
     documents = table(spark, sf_dir, "documents")
@@ -112,5 +120,6 @@ LLM_QUERIES = {
     "op6_html_extraction": op6_html_extraction,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
 }
