@@ -22,20 +22,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, jaccard, lines, packing, toxicity
+from corpusloom.llm.workers import reach, table
 from corpusloom.session import Workspace
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, result="toxicity_score_of_stage")
     return scored.where("toxicity_score_of_stage < 0.5").drop("toxicity_score_of_stage")
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    reach(spark)
     kept = lines.drop_common_lines(docs, "text", threshold=10, min_chars=1)
     new = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
@@ -46,14 +44,16 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    reach(spark)
     return jaccard.first_of_classes(docs, "doc_id", "text")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    reach(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(docs, path).withColumnRenamed("id", "doc_id")
 
@@ -72,7 +72,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written and read again before the next."""
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     work = Workspace(spark)
     for name, stage in STAGES[:-1]:
         docs = work.save(stage(spark, docs, sf_dir), name)

@@ -9,13 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, extract, jaccard, lines, packing, secrets, suffixes, topk, toxicity, warc
+from corpusloom.llm.workers import table
 from corpusloom.session import shared_folder
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the class that links of similarity 0.8 or more join it to."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
