@@ -23,6 +23,8 @@ Nodes and components of any size are cut into blocks, and each pair of blocks is
 one unit of work; small ones are bundled. A node or component with a third of
 all texts is thus spread over many tasks, and no task holds more than two blocks.
 What leaves a task is counts and spanning edges, at most a few rows per text.
+Joins with texts and signatures are merge joins at every size, and texts are
+shuffled compressed.
 
 Words are what white space separates. Defined results: a null text is empty; rows without words
 are copies of each other; repeated rows are copies; null ids take part and count
@@ -37,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +103,7 @@ def _sequence_keys(one: np.ndarray, two: np.ndarray, splits: np.ndarray) -> list
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 40
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         texts = pc.utf8_lower(pc.fill_null(batch.column(0), ""))
         for first, data, offsets in text_slices(texts):
@@ -107,6 +111,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, shingle_splits = shingles(one, splits, SIZE)
             n = len(offsets) - 1
             marks = signatures(values, shingle_splits)
+            raw = data.tobytes()
+            packed = [pack(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(number, number + n)),
@@ -114,9 +120,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(_sequence_keys(one, two, splits), pa.binary()),
                     pa.array(np.diff(splits)),
                     pa.array([m.tobytes() for m in marks], pa.binary()),
-                    texts.slice(first, n),
+                    pa.array(packed, pa.binary()),
                 ],
-                names=["row", "id", "key", "words", "signature", "text"],
+                names=["row", "id", "key", "words", "signature", "packed"],
             )
             number += n
 
@@ -229,9 +235,11 @@ def _verify(threshold: float):
         copies = table["copies"].to_numpy()
         keys = table["key"]
         left, right, links = [], [], np.zeros(len(group), dtype=np.int64)
+        unpack = zstandard.ZstdDecompressor().decompress
         for a, b in _runs(group, low, high):
             values, splits = [], [0]
-            for _, data, offsets in text_slices(table["text"].slice(a, b - a)):
+            texts = pa.array([unpack(x.as_py()).decode() for x in table["packed"].slice(a, b - a)], pa.large_string())
+            for _, data, offsets in text_slices(texts):
                 one, _, word_splits = _text_words(data, offsets)
                 found, cuts = shingles(one, word_splits, SIZE)
                 for x, y in zip(cuts[:-1], cuts[1:], strict=True):
@@ -293,7 +301,7 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", thres
     kind = documents.schema[doc_id].dataType.simpleString()
     rows = documents.select(F.col(text).cast("string"), F.col(doc_id))
     signed = work.save(
-        rows.mapInArrow(_signed, f"row long, id {kind}, key binary, words long, signature binary, text string"), "signed"
+        rows.mapInArrow(_signed, f"row long, id {kind}, key binary, words long, signature binary, packed binary"), "signed"
     )
     found = _linked(signed, threshold, work)
     least = found.groupBy("label").agg(F.min("id").alias("class_id"))
@@ -316,7 +324,7 @@ def first_of_classes(
     rows = numbered.select(F.col(f"c{at}").cast("string"), key.alias("id"))
     kind = rows.schema["id"].dataType.simpleString()
     signed = work.save(
-        rows.mapInArrow(_signed, f"row long, id {kind}, key binary, words long, signature binary, text string"), "signed"
+        rows.mapInArrow(_signed, f"row long, id {kind}, key binary, words long, signature binary, packed binary"), "signed"
     )
     chosen = _linked(signed, threshold, work).groupBy("label").agg(F.min("id").alias("id"))
     return numbered.join(chosen.select(F.col("id.number").alias("number")), "number", "left_semi").drop("number").toDF(
@@ -333,8 +341,8 @@ def _linked(signed: DataFrame, threshold: float, work: Workspace) -> DataFrame:
     marks = work.save(firsts.select("key", "signature"), "marks")
     nodes = work.save(marks.mapInArrow(_node_of(prefix_length(threshold)), "node long, key binary"), "nodes")
     shared = nodes.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-    inside = work.save(_blocked(nodes.join(shared, "node"), NODE_BLOCK), "inside")
-    inside = _bundled(inside.join(marks, "key"), "node", NODE_BLOCK)
+    inside = work.save(_blocked(nodes.join(shared.hint("merge"), "node"), NODE_BLOCK), "inside")
+    inside = _bundled(inside.join(marks.hint("merge"), "key"), "node", NODE_BLOCK)
     edges = work.save(
         inside.groupBy("bundle").applyInArrow(_candidates(threshold), "a binary, b binary"), "candidates"
     )
@@ -343,7 +351,7 @@ def _linked(signed: DataFrame, threshold: float, work: Workspace) -> DataFrame:
     members = joined.join(sizes, "label").select(F.xxhash64("label").alias("group"), "members", F.col("node").alias("key"))
     members = members.join(classes.select("key", "row", "copies"), "key")
     units = work.save(_blocked(members, TEXT_BLOCK), "units")
-    units = _bundled(units, "group", TEXT_BLOCK).join(signed.select("row", "text"), "row")
+    units = _bundled(units, "group", TEXT_BLOCK).join(signed.select("row", "packed").hint("merge"), "row")
     verified = work.save(
         units.groupBy("bundle").applyInArrow(_verify(threshold), "a binary, b binary, links long"), "verified"
     )
