@@ -67,16 +67,22 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
         self._saved: list[tuple[str, DataFrame]] = []
+        self._count = 0
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{len(self._saved):02d}-{name}"
+        path = f"{self.root}/{self._count:02d}-{name}"
+        self._count += 1
         df.write.mode("errorifexists").parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         self._saved.append((path, table))
         return table
 
+    def release(self, *tables: DataFrame) -> None:
+        """Free the space of saved tables whose results are saved themselves."""
+        for path, table in [s for s in self._saved if any(s[1] is t for t in tables)]:
+            empty_frame(self.spark, table.schema).write.mode("overwrite").parquet(path)
+        self._saved = [s for s in self._saved if not any(s[1] is t for t in tables)]
+
     def clear(self) -> None:
         """Free the space of all saved tables; frames built on them end here."""
-        for path, table in self._saved:
-            empty_frame(self.spark, table.schema).write.mode("overwrite").parquet(path)
-        self._saved.clear()
+        self.release(*[table for _, table in self._saved])
