@@ -437,12 +437,14 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     every = work.save(every, "runs")
     # A hot anchor's rows are combined map-side; windows of one text may repeat too.
     anchors = every.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("count").alias("windows")).where("n > 1")
-    anchors = anchors.select("anchor", (F.col("n") > HOT).alias("hot"))
+    # Saved, so that the join below has two plain sides and a hot anchor's can be split.
+    anchors = work.save(anchors.select("anchor", (F.col("n") > HOT).alias("hot")), "anchors")
     repeated = every.join(anchors, "anchor").groupBy("row").agg(
         F.collect_list(F.struct("anchor", "start", "count", "hot")).alias("runs")
     )
     near = texts.select("row", "packed").join(repeated, "row").select("row", "packed", "runs")
     pieces = work.save(near.mapInArrow(_pieces(length), _PIECES), "pieces")
+    work.release(every, anchors)
     whole = pieces.groupBy("c1", "c2").agg(F.count("*").alias("n")).where("n > 1").select("c1", "c2")
     with_bytes = pieces.where("bytes IS NOT NULL")
     total = with_bytes.agg(F.sum(F.length("bytes"))).first()[0] or 0
@@ -462,6 +464,8 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     marks = work.save(marks, "marks")
     found = pieces.select("c1", "c2", "row", "start", "count").join(marks, ["c1", "c2"])
     by_text = found.groupBy("row").agg(F.collect_list(F.struct("start", "count", "inside")).alias("marks"))
+    by_text = work.save(by_text, "covers")
+    work.release(pieces, marks)
     return texts.join(by_text, "row", "left").select("id", "packed", "marks").mapInArrow(
         _cut(length), f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long"
     )
