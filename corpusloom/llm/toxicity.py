@@ -1,6 +1,6 @@
 """Toxicity of texts from subword-bag embeddings and a linear softmax.
 
-A word is a bag of subwords: itself and its character n-grams, each hashed to
+A word is a bag of subwords: itself and its n-grams of bytes, each hashed to
 one row of an embedding table. A word's vector is the mean of its subwords', a
 segment's the mean of its words', and a linear softmax over the two classes
 reads the segment. Embeddings and softmax are trained together, by numpy and
@@ -34,7 +34,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from corpusloom.llm.textbytes import Prefixes
+
 TRAINING_TEXTS = 6000
 TRAINING_CHARS = 50_000
 BUCKETS = 1 << 16
@@ -55,7 +56,7 @@ EPOCHS = 40
 LEAST_TEXTS = 20
 DECAY = 1.0
 RATE = 0.02
-WORDS_KEPT = 400_000
+WORDS_KEPT = 500_000
 #: Ranges summed at a time while training, which bounds the driver's memory.
 GATHERED = 20_000
 
@@ -66,13 +67,22 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def subwords(word: str) -> list[int]:
-    """Rows of a word: itself and its n-grams of three to five characters, ends marked."""
-    marked = f"<{word}>"
-    grams = {marked}
-    for size in (3, 4, 5):
-        grams.update(marked[i : i + size] for i in range(len(marked) - size + 1))
-    return sorted(crc32(g.encode()) % BUCKETS for g in grams)
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word's place, row) of each subword: the word itself and its runs of three to
+    five bytes, ends marked. All words at once, by rolling hashes."""
+    raw = [f"<{w}>".encode() for w in words]
+    size = np.array([len(r) for r in raw], dtype=np.int64)
+    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    start = np.cumsum(size) - size
+    hashed = Prefixes(data, 51)
+    places, rows = [np.arange(len(words))], [hashed.range(start, start + size)]
+    for width in (3, 4, 5):
+        count = np.maximum(size - width + 1, 0)
+        place = np.repeat(np.arange(len(words)), count)
+        begin = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count) + start[place]
+        places.append(place)
+        rows.append(hashed.range(begin, begin + width))
+    return np.concatenate(places), (np.concatenate(rows) % np.uint64(BUCKETS)).astype(np.int32)
 
 
 def segment_starts(n: int) -> range:
@@ -90,30 +100,42 @@ class Model:
         self.rows = (self.table @ self.weights).astype(np.float64)
         self.kept: dict[str, float] = {}
 
-    def word(self, word: str) -> float:
-        """What a word adds to the logit of a segment of one word."""
-        return float(self.rows[subwords(word)].mean())
-
-    def logits(self, text: str | None) -> np.ndarray:
-        """Logit of each segment."""
-        words = words_of(text)
+    def words(self, words: list[str]) -> list[float]:
+        """What each word adds to the logit of a segment of one word."""
         if not words:
-            return np.array([self.bias])
+            return []
+        place, row = subwords(words)
+        return (np.bincount(place, weights=self.rows[row]) / np.bincount(place)).tolist()
+
+    def highest(self, texts: list[str | None]) -> list[float]:
+        """The highest logit of each text's segments."""
+        listed = [words_of(t) for t in texts]
         kept = self.kept
-        try:
-            values = np.fromiter(map(kept.__getitem__, words), dtype=np.float64, count=len(words))
-        except KeyError:
-            for w in words:
-                if w not in kept and len(kept) < WORDS_KEPT:
-                    kept[w] = self.word(w)
-            values = np.array([kept[w] if w in kept else self.word(w) for w in words])
-        sums = np.concatenate([[0.0], np.cumsum(values)])
-        start = np.array(segment_starts(len(words)))
-        stop = np.minimum(start + SEGMENT, len(words))
-        return STRETCH * (sums[stop] - sums[start]) / (stop - start) + self.bias
+        missing = list({w for own in listed for w in own if w not in kept})
+        known = dict(zip(missing, self.words(missing), strict=True))
+        room = WORDS_KEPT - len(kept)
+        if room >= len(known):
+            kept.update(known)
+        out = []
+        for own in listed:
+            if not own:
+                out.append(self.bias)
+                continue
+            values = np.array([kept[w] if w in kept else known[w] for w in own])
+            sums = np.concatenate([[0.0], np.cumsum(values)])
+            start = np.array(segment_starts(len(own)))
+            stop = np.minimum(start + SEGMENT, len(own))
+            out.append(float((STRETCH * (sums[stop] - sums[start]) / (stop - start)).max() + self.bias))
+        return out
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        return (1 / (1 + np.exp(-np.clip(np.array(self.highest(texts)), -500, 500)))).tolist()
+
+    def word(self, word: str) -> float:
+        return self.words([word])[0]
 
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-self.logits(text).max())))
+        return self.scores([text])[0]
 
     def __getstate__(self):
         return {"table": self.table, "weights": self.weights, "bias": self.bias}
@@ -139,29 +161,29 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     if not 0 < share < 1:
         return Model(np.zeros((BUCKETS, WIDTH)), np.zeros(WIDTH), 40.0 if share else -40.0)
     number: dict[str, int] = {}
-    word_ids, row_ids, row_splits = array("i"), array("i"), array("q", [0])
-    seg_splits, seg_text = array("q", [0]), array("i")
-    # Texts that hold each row: a subword of few texts tells the text, not the class.
-    spread = np.zeros(BUCKETS, dtype=np.int64)
+    word_ids, seg_splits, seg_text = array("i"), array("q", [0]), array("i")
+    held: list[np.ndarray] = []
     for i, text in enumerate(texts):
-        ids = []
-        for w in words_of(text):
-            if w not in number:
-                number[w] = len(number)
-                row_ids.extend(subwords(w))
-                row_splits.append(len(row_ids))
-            ids.append(number[w])
-        held = set()
-        for w in set(ids):
-            held.update(row_ids[row_splits[w] : row_splits[w + 1]])
-        spread[list(held)] += 1
+        ids = [number.setdefault(w, len(number)) for w in words_of(text)]
+        held.append(np.unique(np.array(ids, dtype=np.int32)))
         for start in segment_starts(len(ids)):
             own = ids[start : start + SEGMENT]
             if own:
                 word_ids.extend(own)
                 seg_splits.append(len(word_ids))
                 seg_text.append(i)
-    word_ids, row_ids, row_splits, seg_splits, seg_text = map(np.array, (word_ids, row_ids, row_splits, seg_splits, seg_text))
+    place, row_ids = subwords(list(number))
+    by_place = np.argsort(place, kind="stable")
+    row_ids = row_ids[by_place]
+    row_splits = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(number)))])
+    del place, by_place
+    # Texts that hold each row: a subword of few texts tells the text, not the class.
+    spread = np.zeros(BUCKETS, dtype=np.int64)
+    for own in held:
+        count = np.diff(row_splits)[own]
+        begin = np.repeat(row_splits[own] - (np.cumsum(count) - count), count)
+        spread[np.unique(row_ids[begin + np.arange(len(begin))])] += 1
+    word_ids, seg_splits, seg_text = map(np.array, (word_ids, seg_splits, seg_text))
     n_words = len(row_splits) - 1
     row_share = 1.0 / np.diff(row_splits)
     seg_share = STRETCH / np.diff(seg_splits)
@@ -203,7 +225,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         bias = step(bias, np.array([error.sum()], dtype=np.float32), moments[2], turn)[0]
     model = Model(table, weights, float(bias))
     model.kept = dict(zip(number, (_gather(row_splits, model.rows, row_ids) * row_share).tolist(), strict=True))
-    highest = np.array([model.logits(t).max() for t in texts])
+    highest = np.array(model.highest(texts))
     # Texts that training saw look better apart than they are: the threshold stands
     # between the classes where the smoothed count of errors is least.
     order = np.argsort(-highest)
@@ -259,7 +281,9 @@ def score(documents: DataFrame, model: Model, text: str = "text", result: str =
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            scores = [own.score(t.as_py()) for t in batch.column(at)]
+            scores = []
+            for low in range(0, batch.num_rows, 128):
+                scores += own.scores(batch.column(at).slice(low, 128).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], schema=arrow)
 
     return documents.mapInArrow(task, schema)
