@@ -44,7 +44,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpusloom.llm.textbytes import Prefixes
 
-TRAINING_TEXTS = 6000
+TRAINING_TEXTS = 4000
 TRAINING_CHARS = 50_000
 BUCKETS = 1 << 16
 WIDTH = 8
@@ -58,7 +58,7 @@ DECAY = 1.0
 RATE = 0.02
 WORDS_KEPT = 500_000
 #: Ranges summed at a time while training, which bounds the driver's memory.
-GATHERED = 20_000
+GATHERED = 10_000
 
 _WORD = re.compile(r"\w+")
 
@@ -172,11 +172,16 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
                 word_ids.extend(own)
                 seg_splits.append(len(word_ids))
                 seg_text.append(i)
-    place, row_ids = subwords(list(number))
-    by_place = np.argsort(place, kind="stable")
-    row_ids = row_ids[by_place]
-    row_splits = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(number)))])
-    del place, by_place
+    # Words a few at a time: the arrays behind the hashes are many times their result.
+    listed, parts, counts = list(number), [], []
+    for low in range(0, len(listed), GATHERED):
+        own = listed[low : low + GATHERED]
+        place, row = subwords(own)
+        parts.append(row[np.argsort(place, kind="stable")])
+        counts.append(np.bincount(place, minlength=len(own)))
+    row_ids = np.concatenate(parts)
+    row_splits = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    del parts, listed
     # Texts that hold each row: a subword of few texts tells the text, not the class.
     spread = np.zeros(BUCKETS, dtype=np.int64)
     for own in held:
@@ -190,7 +195,10 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     target = labels_[seg_text]
     # The same sums by row and by word, for the gradients.
     by_row = np.argsort(row_ids, kind="stable")
-    used, row_first = np.unique(row_ids[by_row], return_index=True)
+    sorted_rows = row_ids[by_row]
+    row_first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
+    used = sorted_rows[row_first]
+    del sorted_rows
     word_of_row = np.repeat(np.arange(n_words, dtype=np.int32), np.diff(row_splits))[by_row]
     by_word = np.argsort(word_ids, kind="stable")
     word_first = np.unique(word_ids[by_word], return_index=True)[1]
@@ -224,7 +232,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         weights = step(weights, grad_weights, moments[1], turn)
         bias = step(bias, np.array([error.sum()], dtype=np.float32), moments[2], turn)[0]
     model = Model(table, weights, float(bias))
-    model.kept = dict(zip(number, (_gather(row_splits, model.rows, row_ids) * row_share).tolist(), strict=True))
+    del word_of_row, seg_of_word, row_ids, word_ids
     highest = np.array(model.highest(texts))
     # Texts that training saw look better apart than they are: the threshold stands
     # between the classes where the smoothed count of errors is least.
