@@ -37,17 +37,23 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, author_order, first, last, initial) from the order lines."""
-    lines = table(spark, sf_dir, "lineitem")
-    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey")
+    """(doc_id, author_order, first, last, initial) from all order lines.
+
+    Order keys are dealt to the documents, whose ids have no gaps.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id")
+    count = documents.agg(F.coalesce(F.max("doc_id") + 1, F.lit(1))).first()[0]
+    lines = table(spark, sf_dir, "lineitem").withColumn("doc_id", F.col("l_orderkey") % count)
+    place = Window.partitionBy("doc_id").orderBy(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"
+    )
     ordered = lines.select(
-        F.col("l_orderkey").alias("doc_id"),
+        "doc_id",
         "l_suppkey",
         (F.row_number().over(place) - 1).alias("author_order"),
         F.lit("Supplier").alias("first"),
         F.col("l_returnflag").alias("initial"),
     )
-    documents = table(spark, sf_dir, "documents").select("doc_id")
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("last")
     )

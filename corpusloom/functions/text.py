@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 # Fixed values of the search format.
 GRAM_BYTES = 3
-QUERY_GRAMS = 32
 PREVIEW_BYTES = 120
 
 
@@ -45,17 +44,16 @@ def trim_spaces(c: Column | str) -> Column:
     return F.trim(_col(c))
 
 
-def query_grams(c: Column | str) -> Column:
-    """Distinct grams among the first 32 windows of a query, as array<binary>.
+def query_grams(c: Column | str, windows: int | None = None) -> Column:
+    """Distinct grams of a query, as array<binary>; of its first `windows` windows if given.
 
     Queries under three bytes give an empty array.
     """
     text = trim_spaces(c)
     data = normalized_bytes(text)
-    windows = F.sequence(
-        F.lit(1), F.least(F.octet_length(text) - (GRAM_BYTES - 1), F.lit(QUERY_GRAMS))
-    )
-    grams = F.transform(windows, lambda i: F.substring(data, i, F.lit(GRAM_BYTES)))
+    last = F.octet_length(text) - (GRAM_BYTES - 1)
+    last = last if windows is None else F.least(last, F.lit(windows))
+    grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(data, i, F.lit(GRAM_BYTES)))
     return F.when(has_grams(text), F.array_distinct(grams)).otherwise(
         F.array().cast("array<binary>")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,27 +16,12 @@ def first_files(records: DataFrame) -> DataFrame:
     return records.groupBy("doi").agg(F.min("file_path").alias("file_path"))
 
 
-def first_positions(authors: Column) -> Column:
-    """The authors of one record with their 0-based positions, each author once
-    at the smallest position. Works inside the row: no shuffle."""
-    placed = F.transform(
-        authors, lambda a, i: F.struct(i.cast("int").alias("author_order"), a.alias("author"))
-    )
-    return F.filter(
-        placed,
-        lambda p: F.array_position(authors, p["author"]) == p["author_order"] + 1,
-    )
-
-
-def explode_authors(records: DataFrame, *keys: str, repeats: bool = False) -> DataFrame:
-    """One row per author of a record: keys, author_order and the name parts.
+def explode_authors(records: DataFrame, *keys: str) -> DataFrame:
+    """One row per author of a record: keys, 0-based author_order and the name parts.
 
-    With `repeats`, an author named twice in a record gives two rows.
+    An author named twice in a record gives two rows; `first_relations` drops one.
     """
-    if repeats:
-        rows = records.select(*keys, F.posexplode("authors").alias("author_order", "author"))
-    else:
-        rows = records.select(*keys, F.inline(first_positions(F.col("authors"))))
+    rows = records.select(*keys, F.posexplode("authors").alias("author_order", "author"))
     return rows.select(
         *keys,
         "author_order",

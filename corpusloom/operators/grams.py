@@ -73,8 +73,12 @@ def count_grams(
     )
 
 
-def vocabulary(postings: DataFrame) -> DataFrame:
-    """(gram, docs, occurrences) for every distinct gram of an index."""
-    return postings.groupBy("gram").agg(
-        F.count_distinct("doc_id").alias("docs"), F.sum("tf").alias("occurrences")
-    )
+def vocabulary(postings: DataFrame, unique: bool = False) -> DataFrame:
+    """(gram, docs, occurrences) for every distinct gram of an index.
+
+    `unique` says that (gram, doc_id) does not repeat, as in `count_grams`: then
+    one row per gram and task is shuffled instead of all pairs. An index that
+    was appended to repeats them.
+    """
+    docs = F.count(F.lit(1)) if unique else F.count_distinct("doc_id")
+    return postings.groupBy("gram").agg(docs.alias("docs"), F.sum("tf").alias("occurrences"))

@@ -18,10 +18,11 @@ records AS (
   FROM documents),
 record_authors AS (
   SELECT doc_id,
-         (row_number() OVER (PARTITION BY l_orderkey
-            ORDER BY l_linenumber, l_suppkey, l_partkey) - 1)::int AS author_order,
+         (row_number() OVER (PARTITION BY doc_id
+            ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) - 1)::int AS author_order,
          'Supplier' AS first_name, s_name AS last_name, l_returnflag AS initial
-  FROM lineitem JOIN documents ON l_orderkey = doc_id JOIN supplier ON l_suppkey = s_suppkey)
+  FROM (SELECT l_orderkey % (SELECT max(doc_id) + 1 FROM documents) AS doc_id, * FROM lineitem)
+  JOIN supplier ON l_suppkey = s_suppkey)
 """
 
 STORED = (
@@ -103,10 +104,11 @@ def _grams(source: str, key: str, *columns: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _query_grams(source: str, key: str, column: str) -> str:
-    """CTE body: (query_id, gram), distinct among the first 32 windows."""
+def _query_grams(source: str, key: str, column: str, windows: int | None = None) -> str:
+    """CTE body: (query_id, gram), distinct among all or the first windows."""
+    last = "octet_length(b) - 1" if windows is None else f"least(octet_length(b) - 1, {windows + 1})"
     return f"""SELECT DISTINCT query_id, unnest(list_transform(
-                 range(1, least(octet_length(b) - 1, 33)), lambda i: hex(b[i:i+2]))) AS gram
+                 range(1, {last}), lambda i: hex(b[i:i+2]))) AS gram
                FROM (SELECT {key} AS query_id, {_lowered(f"trim({column}, ' ')")} AS b FROM {source})
                WHERE octet_length(b) >= 3"""
 
@@ -195,6 +197,10 @@ FROM ({_grams("documents", "doc_id", "text")}) GROUP BY gram""",
     "index_append": f"""
 WITH {STORED}
 SELECT doc_id, 2 * count(*) AS index_rows FROM ({_grams("stored", "id", "title", "abstract")})
+GROUP BY doc_id""",
+    "index_replay": f"""
+WITH {STORED}
+SELECT doc_id, count(*) AS index_rows FROM ({_grams("stored", "id", "title", "abstract")})
 GROUP BY doc_id""",
     "search_single": _search(STORED, "stored", _one(SEARCH_TEXT), FOUND),
     "search_accented": _search(STORED, "stored", _one(ACCENTED_TEXT), FOUND),
@@ -207,6 +213,14 @@ GROUP BY doc_id""",
         _query_grams("conversations", "conv_id * 1000 + turn", "text"),
         "query_id, " + FOUND,
     ),
+    "search_batch_windows": _search(
+        STORED, "stored", _query_grams("benchmark", "item_id", "text", 32), "query_id, " + FOUND
+    ),
+    "search_batch_repeated_ids": f"""
+WITH asked_by AS (SELECT row_number() OVER () AS row_id, conv_id, substr(text, 1, 40) AS query
+                  FROM conversations),
+answers AS ({_search(STORED, "stored", _query_grams("asked_by", "row_id", "query"), "query_id, rank, doc_id, hits")})
+SELECT conv_id AS query_id, rank, doc_id, hits FROM answers JOIN asked_by ON row_id = answers.query_id""",
     "search_batch_copies": _search(
         STORED,
         "stored",
@@ -231,7 +245,7 @@ WITH {RECORDS},
 listed AS (
   SELECT doc_id, string_agg(first_name || ' ' || last_name || ' ' || initial, '|'
                             ORDER BY author_order) AS authors
-  FROM record_authors WHERE author_order < 32 GROUP BY doc_id)
+  FROM record_authors GROUP BY doc_id)
 SELECT file_path, doi, title, abstract, issn, pub_year, coalesce(authors, '') AS authors
 FROM records LEFT JOIN listed USING (doc_id)""",
     "records_rejects": f"""
@@ -308,6 +322,15 @@ UNION ALL SELECT 'ngrams', count(*) FROM ({_grams("stored", "id", "title", "abst
     "sample_titles": f"""
 WITH {STORED}
 SELECT id, title FROM stored ORDER BY id LIMIT 5""",
+    "ingest_files": f"""
+WITH {STORED}
+SELECT doi, title, abstract,
+       (greatest(octet_length(encode(title)) - 2, 0)
+        + greatest(octet_length(encode(abstract)) - 2, 0))::bigint AS grams,
+       (SELECT count(*) + count(*) FILTER (doc_id % 10 = 0) FROM records) AS files_seen,
+       (SELECT count(*) FILTER (doc_id % 10 = 0) FROM records) AS parse_errors,
+       (SELECT count(*) FROM stored) AS files_processed
+FROM stored""",
     "stream_ingest": f"""
 WITH {STORED}
 SELECT doi, title, abstract,

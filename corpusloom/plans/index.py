@@ -12,8 +12,8 @@ from corpusloom.sources.tables import Tables
 
 TEXT = ("title", "abstract")
 
-# Documents per counting task of a large index: about 10 MB of usual texts.
-_DOCUMENTS_PER_TASK = 8192
+# Bytes of text per counting task of a large index.
+_BYTES_PER_TASK = 16 << 20
 
 
 def build_postings(documents: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -22,9 +22,10 @@ def build_postings(documents: DataFrame, partitions: int | None = None) -> DataF
 
 
 def _tasks(documents: DataFrame) -> int | None:
-    """Counting tasks for stored documents, from a row count that Parquet
-    footers answer; None leaves small tables to the session's setting."""
-    tasks = documents.count() // _DOCUMENTS_PER_TASK
+    """Counting tasks for stored documents, from the bytes of their texts; None
+    leaves small tables to the session's setting."""
+    size = F.sum(sum(F.octet_length(F.coalesce(c, F.lit(""))).cast("long") for c in TEXT))
+    tasks = (documents.agg(size).first()[0] or 0) // _BYTES_PER_TASK
     usual = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return tasks if tasks > usual else None
 
@@ -41,11 +42,19 @@ def build_index(
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
     documents = tables.documents()
     postings = build_postings(documents, partitions or _tasks(documents))
-    tables.write_postings(postings, f"all-{uuid.uuid4().hex}", whole=mode == "overwrite")
+    if mode == "append":
+        postings = postings.withColumn("load_id", F.lit(f"again-{uuid.uuid4().hex}"))
+    else:
+        # Each document's postings stay under the load that owns it, so a load
+        # indexed again replaces them. The counted rows are spread by document
+        # already; only the ids move to meet them.
+        owners = documents.select(F.col("id").alias("doc_id"), "load_id")
+        postings = postings.join(owners, "doc_id")
+    tables.write_postings(postings, whole=mode == "overwrite")
 
 
 def index_load(tables: Tables, load_id: str, partitions: int | None = None) -> None:
     """Index only the documents one load has added; can be repeated."""
     added = tables.documents().where(F.col("load_id") == load_id)
     postings = build_postings(added, partitions or _tasks(added))
-    tables.write_postings(postings, load_id, whole=False)
+    tables.write_postings(postings.withColumn("load_id", F.lit(load_id)), whole=False)

@@ -16,14 +16,17 @@ from corpusloom.sources.records import parse_records
 from corpusloom.sources.tables import Tables
 
 
-def ingest(tables: Tables, path: str, run_id: str | None = None) -> DataFrame:
+def ingest(
+    tables: Tables, path: str, run_id: str | None = None, author_limit: int | None = None
+) -> DataFrame:
     """Read every article file below `path` into `tables` as one run.
 
     Returns the report row of the run. Running it again over the same files
     adds nothing; after a crash, running it again completes it.
     """
     run_id = run_id or uuid.uuid4().hex
-    load_records(tables, parse_records(read_files(tables.spark, path)), run_id, run_id)
+    records = parse_records(read_files(tables.spark, path), author_limit)
+    load_records(tables, records, run_id, run_id)
     return tables.loads().where(F.col("run_id") == run_id)
 
 
@@ -42,23 +45,25 @@ def load_records(
     """
     started = time.monotonic()
     work = Workspace(tables.spark)
-    load = normalize(
-        records, tables.documents(), tables.authors(), tables.relations(), work, claimed
-    )
-    tables.append_entities(load.authors, "authors", "id", load_id)
-    tables.append_entities(load.documents, "documents", "id", load_id)
-    tables.append_entities(load.relations, "documents_x_authors", "document_id", load_id)
-    if claimed is not None:
-        tables.claim_dois(load.winners, run_id, batch)
-    counted = load_counts(load, _inserted(tables, load_id)).select(
-        F.lit(batch).cast("bigint").alias("batch"),
-        *[f.name for f in LOADS.fields if f.name.endswith(COUNT_SUFFIXES)],
-        F.lit(time.monotonic() - started).alias("seconds"),
-        F.lit(run_id).alias("run_id"),
-        F.lit(load_id).alias("load_id"),
-    )
-    tables.write_load(counted)
-    work.clear()
+    try:
+        load = normalize(
+            records, tables.documents(), tables.authors(), tables.relations(), work, claimed
+        )
+        tables.append_entities(load.authors, "authors", "id", load_id)
+        tables.append_entities(load.documents, "documents", "id", load_id)
+        tables.append_entities(load.relations, "documents_x_authors", "document_id", load_id)
+        if claimed is not None:
+            tables.claim_dois(load.winners, run_id, batch)
+        counted = load_counts(load, _inserted(tables, load_id)).select(
+            F.lit(batch).cast("bigint").alias("batch"),
+            *[f.name for f in LOADS.fields if f.name.endswith(COUNT_SUFFIXES)],
+            F.lit(time.monotonic() - started).alias("seconds"),
+            F.lit(run_id).alias("run_id"),
+            F.lit(load_id).alias("load_id"),
+        )
+        tables.write_load(counted)
+    finally:
+        work.clear()
 
 
 COUNT_SUFFIXES = ("_seen", "_errors", "_files", "_processed", "_staged", "_inserted")

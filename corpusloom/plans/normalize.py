@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.dedup import explode_authors, first_files
+from corpusloom.operators.dedup import explode_authors, first_files, first_relations
 from corpusloom.operators.keys import dense_ids, id_block
 from corpusloom.operators.lookup import absent, stored_already
 from corpusloom.session import Workspace
@@ -22,7 +22,7 @@ class Load:
 
     records:   all parsed files, rejected ones with their reason
     winners:   (doi, file_path) of the files whose content is used
-    listed:    the authors those files list, each once per document
+    listed:    the authors those files list
     documents, authors, relations: the rows to insert
     """
 
@@ -102,5 +102,5 @@ def normalize(
         known = known.withColumn("id_block", id_block("document_id"))
         on = ["id_block", "document_id"]
     kept = stored_already(relations, known, on)
-    new_relations = absent(linked, kept, ["document_id", "author_id"])
+    new_relations = absent(first_relations(linked), kept, ["document_id", "author_id"])
     return Load(records, winners, listed, new_documents, new_authors, new_relations)

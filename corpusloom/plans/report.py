@@ -7,7 +7,8 @@ import time
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import duration
+from corpusloom.functions.text import GRAM_BYTES, duration
+from corpusloom.plans.index import TEXT
 
 _SUMMED = [
     "files_processed",
@@ -59,18 +60,26 @@ def ingest_progress(loads: DataFrame) -> DataFrame:
 
 
 def index_report(documents: DataFrame, postings: DataFrame, seconds: float = 0.0) -> DataFrame:
-    """Documents indexed (also those without grams), grams generated, grams
-    inserted, and the aggregated rows they are stored in."""
-    docs = documents.agg(F.count(F.lit(1)).alias("docs_indexed"))
+    """Documents at hand (also those without grams), the grams that their texts
+    generate, the grams inserted as the index counts them, and the aggregated
+    rows they are stored in."""
+    windows = sum(
+        F.greatest(F.octet_length(F.coalesce(c, F.lit(""))) - (GRAM_BYTES - 1), F.lit(0)).cast("long")
+        for c in TEXT
+    )
+    docs = documents.agg(
+        F.count(F.lit(1)).alias("docs_indexed"),
+        F.coalesce(F.sum(windows), F.lit(0)).alias("grams_generated"),
+    )
     grams = postings.agg(
-        F.coalesce(F.sum("tf"), F.lit(0)).alias("grams_generated"),
+        F.coalesce(F.sum("tf"), F.lit(0)).alias("grams_inserted"),
         F.count(F.lit(1)).alias("postings"),
     )
     both = docs.unionByName(grams, allowMissingColumns=True)
     return both.agg(
         F.max("docs_indexed").alias("docs_indexed"),
         F.max("grams_generated").alias("grams_generated"),
-        F.max("grams_generated").alias("grams_inserted"),
+        F.max("grams_inserted").alias("grams_inserted"),
         F.max("postings").alias("postings"),
     ).withColumn("elapsed", duration(F.lit(float(seconds))))
 

@@ -37,8 +37,7 @@ def document_view(
 
     `ids` may be a few literal ids, which prune the scans, a frame with a
     column `id`, or None for all documents. An id that is not stored gives no
-    row. A document has at most 32 authors per load that names it, which bounds
-    the array.
+    row. The array holds the authors of one document.
     """
     if isinstance(ids, DataFrame):
         documents = documents.join(ids.select("id"), "id", "left_semi")

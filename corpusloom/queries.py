@@ -11,8 +11,8 @@ from corpusloom.fixtures import corpus, records, table
 from corpusloom.functions import text as tx
 from corpusloom.operators.dedup import explode_authors, first_files, first_relations
 from corpusloom.operators.grams import count_grams, explode_grams, vocabulary
-from corpusloom.plans.index import build_index, build_postings
-from corpusloom.plans.ingest import load_records
+from corpusloom.plans.index import build_index, build_postings, index_load
+from corpusloom.plans.ingest import ingest, load_records
 from corpusloom.plans.report import index_report, ingest_progress, ingest_report
 from corpusloom.plans.search import search, search_batch
 from corpusloom.plans.view import document_view
@@ -176,7 +176,7 @@ def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = count_grams(table(spark, sf_dir, "documents"), "doc_id", ["text"])
-    return vocabulary(postings).select(F.hex("gram").alias("gram"), "docs", "occurrences")
+    return vocabulary(postings, unique=True).select(F.hex("gram").alias("gram"), "docs", "occurrences")
 
 
 def index_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +220,63 @@ def search_batch_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_batch(tables.postings(), tables.documents(), asked)
 
 
+def search_batch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the first 32 windows of every query are searched when so limited."""
+    tables = indexed(spark, sf_dir)
+    asked = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query")
+    )
+    return search_batch(tables.postings(), tables.documents(), asked, windows=32)
+
+
+def search_batch_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn asks under its conversation's id: its answers stand side by side."""
+    tables = indexed(spark, sf_dir)
+    asked = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("query_id"), F.substring("text", 1, 40).alias("query")
+    )
+    found = search_batch(tables.postings(), tables.documents(), asked)
+    return found.select("query_id", "rank", "doc_id", "hits")
+
+
+def index_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index rows per document after a load, a whole build, and the load again."""
+
+    def fill(tables: Tables) -> None:
+        load_records(tables, article_records(spark, sf_dir), "one", "one")
+        index_load(tables, "one")
+        build_index(tables)
+        index_load(tables, "one")
+
+    tables = _once(spark, sf_dir, "replayed", fill)
+    return tables.postings().groupBy("doc_id").agg(F.sum("tf").alias("index_rows"))
+
+
+def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents ingested from nested folders of JSON files, some of them damaged,
+    with the index rows they get and the run's counters of files."""
+
+    def fill(tables: Tables) -> None:
+        files = article_json(spark, sf_dir)
+        good = files.select("value", (F.col("doc_id") % 7).alias("part"), F.col("doc_id").alias("n"))
+        bad = good.where("n % 10 = 0").withColumn("value", F.concat(F.lit("{"), "value"))
+        both = good.unionByName(bad).drop("n")
+        folder = tables.path("files")
+        both.write.partitionBy("part").option("maxRecordsPerFile", 1).text(folder)
+        ingest(tables, folder, run_id="files")
+        build_index(tables)
+
+    tables = _once(spark, sf_dir, "files", fill)
+    grams = tables.postings().groupBy(F.col("doc_id").alias("id")).agg(F.sum("tf").alias("grams"))
+    counters = tables.loads().select("files_seen", "parse_errors", "files_processed")
+    return (
+        tables.documents()
+        .join(grams, "id", "left")
+        .join(F.broadcast(counters))
+        .select("doi", "title", "abstract", F.coalesce("grams", F.lit(0)).alias("grams"), *counters.columns)
+    )
+
+
 def search_batch_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer asks for its market segment: many copies of few queries."""
     tables = indexed(spark, sf_dir)
@@ -289,7 +346,7 @@ def records_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def author_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records with the suppliers of a part as authors: 32 at most are read."""
+    """Records with the suppliers of a part as authors, 32 at most when so limited."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey"),
         F.struct(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")).alias("line"),
@@ -307,7 +364,7 @@ def author_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_json(F.struct(metadata.alias("metadata"))).alias("value"),
         )
     )
-    named = explode_authors(accepted(parse_records(raw)), "doi", repeats=True)
+    named = explode_authors(accepted(parse_records(raw, author_limit=32)), "doi")
     return named.select(
         "doi",
         "author_order",
@@ -340,7 +397,7 @@ def relations_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relations of the winning files before any is dropped as a repeat."""
     every = article_records(spark, sf_dir)
     winners = every.join(first_files(every).select("file_path"), "file_path", "left_semi")
-    return explode_authors(winners, "doi", repeats=True)
+    return explode_authors(winners, "doi")
 
 
 def relations_first_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,10 +494,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_postings": stored_postings,
     "gram_vocab": gram_vocab,
     "index_append": index_append,
+    "index_replay": index_replay,
     "search_single": search_single,
     "search_accented": search_accented,
     "search_batch": search_batch_benchmark,
     "search_batch_conversations": search_batch_conversations,
+    "search_batch_windows": search_batch_windows,
+    "search_batch_repeated_ids": search_batch_repeated_ids,
     "search_batch_copies": search_batch_copies,
     "search_short_query": search_short_query,
     "search_existing_documents": search_existing_documents,
@@ -462,4 +522,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_counts": table_counts,
     "sample_titles": first_titles,
     "stream_ingest": stream_ingest,
+    "ingest_files": ingest_files,
 }

@@ -80,6 +80,14 @@ CLAIMED_DOIS = T.StructType(
     ]
 )
 
+# Numbers of finished indexes; the highest is in use.
+GENERATIONS = T.StructType([T.StructField("generation", T.LongType())])
+
+# Runs of streams that have ended.
+ENDED_RUNS = T.StructType(
+    [T.StructField("stream", T.StringType()), T.StructField("number", T.LongType())]
+)
+
 # One row per load (a batch ingest, or one micro-batch of a stream).
 LOADS = T.StructType(
     [

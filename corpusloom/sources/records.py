@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from corpusloom.functions.variant import array_at, int_at, string_at, variant_at
 from corpusloom.schemas import RECORDS
 
-# Fixed value: authors beyond this position in a record are not read.
-AUTHOR_LIMIT = 32
-
 BAD_JSON = "bad_json"
 NO_METADATA = "no_metadata"
 NO_DOI = "no_doi"
@@ -26,21 +23,22 @@ def _author(entry: Column) -> Column:
     )
 
 
-def _authors(doc: Column) -> Column:
-    listed = F.slice(array_at(doc, "$[0].metadata.authors"), 1, AUTHOR_LIMIT)
+def _authors(doc: Column, limit: int | None) -> Column:
+    listed = array_at(doc, "$[0].metadata.authors")
+    listed = listed if limit is None else F.slice(listed, 1, limit)
     none = F.array().cast(RECORDS["authors"].dataType)
     return F.coalesce(F.transform(listed, _author), none)
 
 
-def parse_records(raw: DataFrame) -> DataFrame:
-    """(file_path, value) to `schemas.RECORDS`.
+def parse_records(raw: DataFrame, author_limit: int | None = None) -> DataFrame:
+    """(file_path, value) to `schemas.RECORDS`; `author_limit` authors of a record, or all.
 
     Spark's JSON parser stops after the first value, so text after the object
     would go unnoticed. The file is therefore parsed as the first element of an
     array that ends in the file's own digest: only when the file is exactly one
     JSON value does the digest come out as the second element.
     """
-    texts = raw.select("file_path", F.substring_index("value", "\0", 1).alias("text"))
+    texts = raw.select("file_path", F.col("value").alias("text"))
     digested = texts.select("file_path", "text", F.md5("text").alias("digest"))
     wrapped = F.concat(F.lit("["), "text", F.lit(',"'), "digest", F.lit('"]'))
     doc = F.when(F.is_valid_utf8("text"), F.try_parse_json(wrapped))
@@ -58,7 +56,7 @@ def parse_records(raw: DataFrame) -> DataFrame:
         string_at(doc, "$[0].abstract").alias("abstract"),
         string_at(doc, "$[0].metadata.issn").alias("issn"),
         int_at(doc, "$[0].metadata.pub_year").alias("pub_year"),
-        _authors(doc).alias("authors"),
+        _authors(doc, author_limit).alias("authors"),
     )
     reason = (
         F.when(~F.col("whole"), BAD_JSON)

@@ -46,8 +46,23 @@ class Tables:
     def relations(self) -> DataFrame:
         return self.read("documents_x_authors", schemas.RELATIONS)
 
+    def generation(self) -> int:
+        """The number of the index that readers use; 0 before the first."""
+        rows = self.read("postings_generations", schemas.GENERATIONS)
+        return rows.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
+
     def postings(self) -> DataFrame:
-        return self.read("postings", schemas.POSTINGS)
+        return self.read(_index(self.generation()), schemas.POSTINGS)
+
+    def runs(self, stream: str) -> int:
+        """How many runs of a stream have ended."""
+        return self.read("ended_runs", schemas.ENDED_RUNS).where(F.col("stream") == stream).distinct().count()
+
+    def end_run(self, stream: str, number: int) -> None:
+        row = self.spark.range(1).select(
+            F.lit(stream).alias("stream"), F.lit(number).cast("long").alias("number")
+        )
+        row.write.mode("append").parquet(self.path("ended_runs"))
 
     def claimed_dois(self) -> DataFrame:
         return self.read("claimed_dois", schemas.CLAIMED_DOIS)
@@ -71,23 +86,34 @@ class Tables:
             .parquet(self.path(name))
         )
 
-    def write_postings(self, postings: DataFrame, load_id: str, whole: bool) -> None:
-        """Lay postings out by gram bucket; `rebalance` splits hot buckets.
+    def write_postings(self, postings: DataFrame, whole: bool) -> None:
+        """Lay postings (gram, doc_id, tf, load_id) out by gram bucket; `rebalance`
+        splits hot buckets.
 
-        `whole` replaces the index; otherwise only this load's postings are
-        replaced, so writing a load again does not count it twice.
+        `whole` makes a new index: it is written beside the one in use, and a
+        last small row makes it the current one, so a build that is cut off
+        leaves the old answers. The index before the old one is freed.
+        Otherwise only the postings of the loads at hand are replaced, so
+        writing a load again does not count it twice.
         """
+        now = self.generation()
+        to = now + 1 if whole else now
         (
-            postings.select("gram", "doc_id", "tf")
-            .withColumn("load_id", F.lit(load_id))
+            postings.select("gram", "doc_id", "tf", "load_id")
             .withColumn("gram_bucket", gram_bucket(F.col("gram")))
             .hint("rebalance", "gram_bucket")
-            .sortWithinPartitions("gram_bucket", "gram", "doc_id")
+            .sortWithinPartitions("load_id", "gram_bucket", "gram", "doc_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static" if whole else "dynamic")
             .partitionBy("load_id", "gram_bucket")
-            .parquet(self.path("postings"))
+            .parquet(self.path(_index(to)))
         )
+        if whole:
+            row = self.spark.range(1).select(F.lit(to).cast("long").alias("generation"))
+            row.write.mode("append").parquet(self.path("postings_generations"))
+            if now > 1:
+                old = empty_frame(self.spark, schemas.POSTINGS)
+                old.write.mode("overwrite").parquet(self.path(_index(now - 1)))
 
     def write_load(self, row: DataFrame) -> None:
         (
@@ -108,11 +134,6 @@ class Tables:
             .parquet(self.path("claimed_dois"))
         )
 
-    def release_dois(self) -> None:
-        """Forget the DOIs of finished runs, as staging is cleared after a run."""
-        empty = empty_frame(self.spark, schemas.CLAIMED_DOIS)
-        empty.write.mode("overwrite").parquet(self.path("claimed_dois"))
-
     def counts(self) -> DataFrame:
         """(table_name, rows) of the four stored tables."""
         frames = {
@@ -124,6 +145,10 @@ class Tables:
         return row_counts(frames)
 
 
+def _index(generation: int) -> str:
+    return f"postings/{generation:06d}"
+
+
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """(table_name, rows) per frame; a frame with `tf` counts its occurrences,
     the rows an index without aggregated postings would hold."""

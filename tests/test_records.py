@@ -55,7 +55,6 @@ def test_fields(parse):
         "year large": meta('"pub_year":99999999999'),
         "year negative": meta('"pub_year":-5'),
         "nul escape": '{"metadata":{"doi":"a\\u0000b"}}',
-        "nul byte": '{"metadata":{"doi":"a"}}\0 junk',
     }
     found = {r.file_path: r for r in accepted(parse(rows)).collect()}
     assert set(found) == set(rows)
@@ -65,7 +64,9 @@ def test_fields(parse):
     assert found["title number"].title is None
     years = ["year string", "year real", "year large", "year negative"]
     assert [found[n].pub_year for n in years] == [0, 0, 0, -5]
-    assert found["nul escape"].doi == "a" and found["nul byte"].doi == "a"
+    assert found["nul escape"].doi == "a\0b"
+    raw = parse({"nul byte": '{"metadata":{"doi":"a"}}\0 junk'})
+    assert [r.reason for r in raw.collect()] == ["bad_json"]
 
 
 def test_authors(parse):
@@ -82,7 +83,13 @@ def test_authors(parse):
     found = {r.file_path: [tuple(a) for a in r.authors] for r in parse(rows).collect()}
     assert found["object"] == [] and found["empty"] == []
     assert found["mixed"] == [("A", "", "I"), ("", "", ""), ("", "", ""), ("", "", "")]
-    assert found["forty"] == [("f", str(i), "") for i in range(32)]
+    assert found["forty"] == [("f", str(i), "") for i in range(40)]
+
+
+def test_author_limit(spark):
+    text = '{"metadata":{"doi":"d","authors":[{"last":"a"},{"last":"b"},{"last":"c"}]}}'
+    raw = spark.createDataFrame([("f", text)], "file_path string, value string")
+    assert [a.last for a in parse_records(raw, author_limit=2).first().authors] == ["a", "b"]
 
 
 def test_filters_do_not_copy_the_parse(parse):

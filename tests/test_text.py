@@ -36,7 +36,11 @@ def test_query_grams(spark):
     assert grams("aaaaaa") == [b"aaa"]
     assert grams("é1") == ["é1".encode()]
     long = "".join(chr(97 + i % 26) + str(i % 10) for i in range(30))
-    assert grams(long) == sorted(set(windows(long)[:32])) == literal_grams(long)
+    assert grams(long) == sorted(set(windows(long))) == literal_grams(long)
+    first = sorted(bytes(x) for x in one(spark, tx.query_grams("t", 32), long))
+    assert first == sorted(set(windows(long)[:32])) == literal_grams(long, 32)
+    for odd in ["text\0alpha", " \0 ", "É\0é ABC"]:
+        assert grams(odd) == literal_grams(odd)
 
 
 def test_preview_keeps_whole_characters(spark):
