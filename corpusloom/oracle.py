@@ -217,7 +217,7 @@ GROUP BY doc_id""",
         STORED, "stored", _query_grams("benchmark", "item_id", "text", 32), "query_id, " + FOUND
     ),
     "search_batch_repeated_ids": f"""
-WITH asked_by AS (SELECT row_number() OVER () AS row_id, conv_id, substr(text, 1, 40) AS query
+WITH asked_by AS (SELECT row_number() OVER () AS row_id, conv_id, text AS query
                   FROM conversations),
 answers AS ({_search(STORED, "stored", _query_grams("asked_by", "row_id", "query"), "query_id, rank, doc_id, hits")})
 SELECT conv_id AS query_id, rank, doc_id, hits FROM answers JOIN asked_by ON row_id = answers.query_id""",

@@ -233,7 +233,7 @@ def search_batch_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn asks under its conversation's id: its answers stand side by side."""
     tables = indexed(spark, sf_dir)
     asked = table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("query_id"), F.substring("text", 1, 40).alias("query")
+        F.col("conv_id").alias("query_id"), F.col("text").alias("query")
     )
     found = search_batch(tables.postings(), tables.documents(), asked)
     return found.select("query_id", "rank", "doc_id", "hits")
