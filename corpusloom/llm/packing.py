@@ -197,7 +197,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         placed[-1] = placed[-1].where(~F.col("open"))
         placed.append(work.save(again.groupBy("part").applyInArrow(_arrange(capacity, False), _PLACED), "packed"))
     full = pieces.where(F.col("length") >= capacity).select(
-        "row", F.lit(-1).cast("long").alias("round"), F.lit(0).cast("long").alias("part"), F.col("row").alias("bin"), F.lit(0).cast("long").alias("offset")
+        "row",
+        F.lit(-1).cast("long").alias("round"),
+        F.lit(0).cast("long").alias("part"),
+        F.col("row").alias("bin"),
+        F.lit(0).cast("long").alias("offset"),
     )
     final = full
     for turn, rows in enumerate(placed):
@@ -211,7 +215,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return pieces.join(final.select("row", sequence.alias("sequence_id"), "offset"), "row")
 
 
-def pack_documents(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(
+    documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY
+) -> DataFrame:
     """id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
     work = Workspace(documents.sparkSession)
     stored = work.save(pieces(documents, doc_id, text, path, capacity), "pieces")

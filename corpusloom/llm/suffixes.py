@@ -29,11 +29,11 @@ ignored but for the id. Removed bytes may part a character: what is left is byte
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -306,9 +306,10 @@ def _pieces(length: int):
             columns = [batch.column(i) for i in range(3)]
             for first, data, offsets in _byte_slices(columns[1]):
                 own = columns[2].slice(first, len(offsets) - 1)
-                each = pa.compute.list_value_length(own).to_numpy()
+                each = pc.list_value_length(own).to_numpy()
                 flat = own.flatten()
-                anchor, start, count, hot = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "start", "count", "hot"))
+                names = ("anchor", "start", "count", "hot")
+                anchor, start, count, hot = (flat.field(n).to_numpy(zero_copy_only=False) for n in names)
                 text = np.repeat(np.arange(len(each)), each)
                 hot = hot.astype(bool)
                 times = np.where(hot, count, 1)

@@ -190,7 +190,13 @@ def _score(k: int, rotation: np.ndarray, width: int):
                     part = slice(at, at + 1024)
                     q, v, score = best(queries, q_rows, vectors[part], ids[part], rows[part], k, rotation, floor)
                     yield pa.RecordBatch.from_pydict(
-                        {"query_block": np.full(len(q), pair["q_block"]), "query_row": q_rows[q], "query_id": q_ids[q], "vec_id": ids[part][v], "score": score}
+                        {
+                            "query_block": np.full(len(q), pair["q_block"]),
+                            "query_row": q_rows[q],
+                            "query_id": q_ids[q],
+                            "vec_id": ids[part][v],
+                            "score": score,
+                        }
                     )
 
     return run

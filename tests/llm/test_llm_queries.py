@@ -8,7 +8,6 @@ from zlib import crc32
 
 import duckdb
 import pytest
-import test_decontaminate  # noqa: F401  (its helpers share this folder)
 from corpusloom.llm.oracle import LLM_ORACLE
 from corpusloom.llm.queries import LLM_QUERIES
 from test_jaccard import brute as brute_links
