@@ -27,6 +27,12 @@ def document_authors(relations: DataFrame, authors: DataFrame) -> DataFrame:
     )
 
 
+def _of_ids(table: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
+    """The rows of the wanted ids; of a stored table only their blocks are read."""
+    on = ["id_block", id_col] if "id_block" in table.columns else [id_col]
+    return table.join(wanted.select(*on), on, "left_semi")
+
+
 def document_view(
     documents: DataFrame,
     relations: DataFrame,
@@ -40,9 +46,9 @@ def document_view(
     row. The array holds the authors of one document.
     """
     if isinstance(ids, DataFrame):
-        documents = documents.join(ids.select("id"), "id", "left_semi")
-        wanted = ids.select(F.col("id").alias("document_id"))
-        relations = relations.join(wanted, "document_id", "left_semi")
+        wanted = ids.select("id").distinct().withColumn("id_block", id_block("id"))
+        documents = _of_ids(documents, wanted, "id")
+        relations = _of_ids(relations, wanted.withColumnRenamed("id", "document_id"), "document_id")
     elif ids is not None:
         documents = by_ids(documents, "id", ids)
         relations = by_ids(relations, "document_id", ids)
