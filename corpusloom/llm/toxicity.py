@@ -193,18 +193,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     row_share = 1.0 / np.diff(row_splits)
     seg_share = STRETCH / np.diff(seg_splits)
     target = labels_[seg_text]
-    # The same sums by row and by word, for the gradients.
-    by_row = np.argsort(row_ids, kind="stable")
-    sorted_rows = row_ids[by_row]
-    row_first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
-    used = sorted_rows[row_first]
-    del sorted_rows
-    word_of_row = np.repeat(np.arange(n_words, dtype=np.int32), np.diff(row_splits))[by_row]
-    by_word = np.argsort(word_ids, kind="stable")
-    word_first = np.unique(word_ids[by_word], return_index=True)[1]
-    seg_of_word = np.repeat(np.arange(len(seg_text), dtype=np.int32), np.diff(seg_splits))[by_word]
-    del by_row, by_word
-
+    row_counts, seg_sizes = np.diff(row_splits), np.diff(seg_splits)
+    used = np.flatnonzero(spread)
     free = (spread[used] >= LEAST_TEXTS).astype(np.float32)[:, None]
 
     random = np.random.Generator(np.random.PCG64(seed))
@@ -226,13 +216,19 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         error = ((1 / (1 + np.exp(-logit)) - target)).astype(np.float32)
         grad_weights = seg_vec.T @ error + 1e-3 * weights
         to_seg = (error * seg_share).astype(np.float32)
-        to_word = np.add.reduceat(to_seg[seg_of_word], word_first) * row_share.astype(np.float32)
-        grad_rows = free * np.add.reduceat(to_word[word_of_row], row_first)[:, None] * weights[None, :]
+        to_word = np.bincount(word_ids, weights=np.repeat(to_seg, seg_sizes), minlength=n_words) * row_share
+        to_row = np.zeros(BUCKETS)
+        for low in range(0, n_words, GATHERED):
+            own = slice(low, low + GATHERED)
+            ends = row_splits[[low, min(low + GATHERED, n_words)]]
+            weight = np.repeat(to_word[own], row_counts[own])
+            to_row += np.bincount(row_ids[ends[0] : ends[1]], weights=weight, minlength=BUCKETS)
+        grad_rows = free * to_row[used].astype(np.float32)[:, None] * weights[None, :]
         table[used] = step(table[used], grad_rows + DECAY * table[used], moments[0], turn)
         weights = step(weights, grad_weights, moments[1], turn)
         bias = step(bias, np.array([error.sum()], dtype=np.float32), moments[2], turn)[0]
     model = Model(table, weights, float(bias))
-    del word_of_row, seg_of_word, row_ids, word_ids
+    del row_ids, word_ids
     highest = np.array(model.highest(texts))
     # Texts that training saw look better apart than they are: the threshold stands
     # between the classes where the smoothed count of errors is least.
