@@ -9,8 +9,8 @@ headings and short paragraphs between long ones keep up with them; the smoothed
 values are averaged per path and fused with the paths' own ratios. Paths above
 a share of the values' standard deviation are content.
 
-The innermost element that holds most of the selected text is the article: all
-its blocks are kept, also short ones, in page order. Elements that by HTML's meaning or by
+The innermost element that holds all selected blocks is the article: all its
+blocks are kept, also short ones, in page order; no selected block is lost. Elements that by HTML's meaning or by
 their class, id or role are no article text (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles) are left out first.
 
@@ -39,8 +39,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 SMOOTHING = 1.0
 CUT = 0.3
-#: Share of the selected text that the article's element must hold.
-HELD = 0.8
 
 # Names from the HTML standard and words that sites use for what is not article text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -207,13 +205,9 @@ def main_text(page: str | None) -> str:
         return ""
     scores = path_scores(nodes)
     chosen = scores >= CUT * (scores.std() or scores.max())
-    length = np.array([len(t) for _, _, t in nodes], dtype=float) * chosen
-    held: dict[int, float] = {}
-    for (_, elements, _), size in zip(nodes, length, strict=True):
-        for e in elements:
-            held[e] = held.get(e, 0.0) + size
-    # Elements are numbered as they open, so of several that hold enough the last is innermost.
-    enough = [e for e, size in held.items() if size >= HELD * length.sum()]
+    own = [set(elements) for (_, elements, _), c in zip(nodes, chosen, strict=True) if c]
+    # Elements are numbered as they open, so of several that hold all the last is innermost.
+    enough = set.intersection(*own) if own else set()
     # A paragraph is never the article: the next element around it is.
     kinds = {e: p for path, elements, _ in nodes for e, p in zip(elements, path, strict=True)}
     enough = [e for e in enough if re.match(r"\w+", kinds[e])[0] in _SCOPES]

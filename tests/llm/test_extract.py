@@ -42,3 +42,18 @@ def test_columns_and_rows(spark):
     assert got.columns == ["page_id", "url", "html", "text", "n_chars"]
     assert sorted((r.text, r.n_chars) for r in got.collect()) == [("", 0), ("", 0), (TEXT, len(TEXT)), (TEXT, len(TEXT))]
     assert extract.extract(frame.limit(0)).collect() == []
+
+
+LONG = "Some words of a sentence, which goes on for a while; it ends here."
+WHOLE = {
+    "title and lead": f"<article><h1>Title</h1><p>{LONG}</p><div class=body>{LONG * 12}</div></article>",
+    "two sections": f"<div><section>{f'<p>{LONG}</p>' * 9}</section><section><p>{LONG} Last.</p></section></div>",
+    "long list": f"<article><p>First. {LONG}</p><ul>{f'<li>{LONG}' * 20}</ul><p>Last. {LONG}</p></article>",
+    "no element around": f"<div>{f'<p>{LONG}</p>' * 9}</div><div><p>Last. {LONG}</p></div>",
+}
+
+
+@pytest.mark.parametrize("name", list(WHOLE))
+def test_all_selected_text_is_kept(name):
+    nodes = extract.blocks(WHOLE[name])
+    assert extract.main_text(WHOLE[name]) == " ".join(text for _, _, text in nodes)
