@@ -12,7 +12,9 @@ a share of the values' standard deviation are content.
 The innermost element that holds all selected blocks is the article: all its
 blocks are kept, also short ones, in page order; no selected block is lost. Elements that by HTML's meaning or by
 their class, id or role are no article text (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts, styles) are left out first.
+notices, adverts, forms, comments, scripts, styles) are left out first. A class or
+id counts as a whole: `legal` or `site-header`, not `legal-background`; on headings it
+never counts. A form that holds most of the page's text is the page, not a form.
 
 Parsing is forgiving: unclosed paragraphs, list items and cells end where HTML
 says so; stray end tags are ignored; comments, scripts and styles are skipped
@@ -44,7 +46,7 @@ CUT = 0.3
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|noscript|template|textarea|iframe|svg|title|select|object"
 _SKIPPED = frozenset(
-    "head nav header footer aside form button menu dialog".split()
+    "head nav header footer aside button menu dialog".split()
 ) | frozenset(_RAW.split("|"))
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
@@ -58,8 +60,15 @@ _NOT_TEXT = frozenset(
     "toolbar skip copyright search form alert disclaimer legal reply replies topnav subnav sidenav adbox adslot "
     "adunit adsense adsbygoogle".split()
 )
-# A class that begins like this and ends so speaks of the page around, not of the element.
-_LAYOUT = frozenset("layout page template site enabled disabled open closed active on off left right".split())
+# Words that may stand before or after them in a whole class or id, as in `site-header` or `nav-links`.
+_BEFORE = frozenset(
+    "site page main global primary secondary top bottom left right sub side sticky fixed mobile desktop article post "
+    "entry blog content user".split()
+)
+_AFTER = frozenset(
+    "box area bar list section block container wrapper inner item items link links button buttons icons row group "
+    "slot unit posts articles stories news".split()
+)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -70,6 +79,7 @@ _CLOSED_BY = {
     "th": frozenset(["td", "th"]),
     "option": frozenset(["option"]),
 }
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SCOPES = frozenset("ul ol dl table article section div body html main".split())
 _ENDS_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -78,36 +88,45 @@ _ENDS_P = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?![^\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    rf"|<(?P<raw>{_RAW})(?![^\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
-_LABELS = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-_LABEL_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_LABEL_WORD = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
 
-def _labels(rest: str) -> tuple[str, bool]:
+def _no_article(token: str) -> bool:
+    """Whether a class or id as a whole names what is no article text."""
+    words = _LABEL_WORD.findall(_CAMEL.sub("-", token).lower())
+    named = [w in _NOT_TEXT for w in words]
+    return bool(words) and (
+        "".join(words) in _NOT_TEXT
+        # The last word names the thing: `article-header` is a header, `header-image-article` an article.
+        or (named[-1] and all(n or w in _BEFORE for n, w in zip(named, words, strict=True)))
+        or (named[0] and all(n or w in _AFTER for n, w in zip(named, words, strict=True)))
+    )
+
+
+def _labels(tag: str, rest: str) -> tuple[str, bool]:
     """What tells the element from others of its tag, and whether it is no article text."""
     skipped, name = False, ""
-    for key, value in _LABELS.findall(rest):
+    for key, value in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'")
         if key == "role":
-            skipped |= value.lower() in _ROLES
+            skipped |= value.lower() in _ROLES and tag != "form"
         elif key == "aria-hidden":
             skipped |= value.lower() == "true"
         elif key == "hidden":
             skipped = True
-        else:
+        elif key in ("class", "id"):
             name += f".{value}" if key == "class" else ""
-            for token in value.split():
-                words = _LABEL_WORD.findall(_CAMEL.sub("-", token).lower())
-                # The last word names the thing: `article-header` is a header, `header-image-article` an article.
-                skipped |= bool(words) and (
-                    words[-1] in _NOT_TEXT or (words[0] in _NOT_TEXT and words[-1] not in _LAYOUT)
-                )
+            if tag not in _HEADINGS and tag != "form":
+                skipped |= any(map(_no_article, value.split()))
     return name, skipped
 
 
@@ -164,7 +183,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
             last = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in closes or stack[i][0] in _SCOPES), -1)
             if last >= 0 and stack[last][0] in closes:
                 del stack[last:]
-        label, skipped = _labels(token["rest"]) if token["rest"].strip() else ("", False)
+        label, skipped = _labels(name, token["rest"]) if token["rest"].strip() else ("", False)
         # The root may carry site-wide words in its classes.
         skipped = (skipped and name not in ("html", "body", "main")) or name in _SKIPPED
         skipped |= bool(stack) and stack[-1][3]
@@ -176,7 +195,15 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
             place = [s for s in stack if s[0] not in _INLINE]
         parts.append(page[at:])
     flush()
-    return out
+    # A form is left out, but not one around most of the text.
+    sizes: dict[int, int] = {}
+    for path, numbers, text in out:
+        for tag, number in zip(path, numbers, strict=True):
+            if tag.partition(".")[0] == "form":
+                sizes[number] = sizes.get(number, 0) + len(text)
+    whole = sum(len(text) for _, _, text in out)
+    small = {number for number, size in sizes.items() if 2 * size <= whole}
+    return [block for block in out if small.isdisjoint(block[1])] if small else out
 
 
 def path_scores(nodes: list[tuple[tuple[str, ...], tuple[int, ...], str]]) -> np.ndarray:

@@ -57,3 +57,33 @@ WHOLE = {
 def test_all_selected_text_is_kept(name):
     nodes = extract.blocks(WHOLE[name])
     assert extract.main_text(WHOLE[name]) == " ".join(text for _, _, text in nodes)
+
+
+KEPT = {
+    "style": '<div style="overflow:hidden">{}</div>',
+    "link": '<div data-link="a" href="/hidden-gems">{}</div>',
+    "data-hidden": '<div data-hidden="false">{}</div>',
+    "query": '<div data-href="?id=search">{}</div>',
+    "data-id": '<div data-id="ad">{}</div>',
+    "title": "<div title='see id=search, class=ad'>{}</div>",
+    "section": '<section id="legal-background">{}</section>',
+    "topic": '<section id="binary-search">{}</section>',
+    "class": '<div class="related-work">{}</div>',
+    "heading": '<div><h2 id="search">Search</h2><h3 id="search-algorithms" class="legal">On it</h3>{}</div>',
+    "closed svg": '<div><svg width="1" />{}</div><svg><text>no</text></svg>',
+    "form": '<form id="aspnetForm" action="x.aspx"><div class="nav-links">no</div><div>{}</div></form>',
+    "form by number": '<form id="form1" role="form"><div class="site-header">no</div><div>{}</div></form>',
+    "custom element": "<title-block>{}</title-block>",
+}
+LEFT_OUT = ["site-header", "nav-links", "cookie-notice", "adBox", "related-posts", "main-nav", "ad_1", "x sidebar"]
+
+
+@pytest.mark.parametrize("name", list(KEPT))
+def test_only_whole_names_leave_text_out(name):
+    text = extract.main_text(KEPT[name].format(ARTICLE))
+    assert text == {"heading": "Search On it "}.get(name, "") + TEXT
+
+
+@pytest.mark.parametrize("label", LEFT_OUT)
+def test_compound_names_still_leave_text_out(label):
+    assert extract.main_text(f"<div class='{label}'>{LONG}</div><div>{ARTICLE}</div>") == TEXT
