@@ -14,9 +14,12 @@ segments of a toxic text teach a low probability, and the classes' prior is set
 right by `positives`: the threshold on segment scores is chosen on the training texts
 and moved to 0.5.
 
-Training reads at most `TRAINING_TEXTS` labelled texts, taken by the hash of
-their id, of at most `TRAINING_CHARS` characters each; that is the only bound,
-and it holds for learning alone. Everything is scored.
+Training reads at most `TRAINING_TEXTS` labelled texts, toxic ones up to half of
+them (either class fills what the other leaves), each class taken by the hash of
+the id, of at most `TRAINING_CHARS` characters each; that is the only bound, and it
+holds for learning alone. The threshold counts a class's errors by its share of all
+labels, not of the sample. Every subword has a row of its own or shares one by hash;
+decay holds back those of few texts. Everything is scored.
 
 Scoring maps the documents; the model (a few megabytes, of fixed size) goes to
 all tasks. A word's share of a segment's logit is one number, kept per worker
@@ -52,8 +55,6 @@ SEGMENT = 8
 #: A segment's mean vector is stretched by this, so that one word in it can decide.
 STRETCH = 8.0
 EPOCHS = 40
-#: Subwords of fewer training texts stay at zero.
-LEAST_TEXTS = 20
 DECAY = 1.0
 RATE = 0.02
 WORDS_KEPT = 500_000
@@ -154,7 +155,22 @@ def _gather(splits: np.ndarray, rows: np.ndarray, places: np.ndarray) -> np.ndar
     return out
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
+def cut_between(highest: np.ndarray, labels: np.ndarray, odds: float = 1.0) -> float:
+    """The threshold of least errors; a missed toxic text counts `odds` times. It lies
+    between unequal logits or beyond all: above, when nothing tells the classes apart."""
+    order = np.argsort(-highest, kind="stable")
+    value = highest[order]
+    edges = np.concatenate([[value[0] + 1], value, [value[-1] - 1]])
+    hits = np.concatenate([[0], np.cumsum(labels[order])])
+    wrong = odds * (hits[-1] - hits) + (np.arange(len(hits)) - hits)
+    wrong[edges[:-1] <= edges[1:]] = np.inf
+    if value[0] == value[-1]:
+        wrong[-1] = np.inf
+    least = int(np.argmin(wrong))
+    return float(edges[least] + edges[least + 1]) / 2
+
+
+def train(texts: list[str], labels: list[int], seed: int = 7, odds: float = 1.0) -> Model:
     """Fit the table and the softmax together on segments of the texts."""
     labels_ = np.array(labels, dtype=np.float64)
     share = float(labels_.mean()) if len(labels_) else 0.0
@@ -162,10 +178,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         return Model(np.zeros((BUCKETS, WIDTH)), np.zeros(WIDTH), 40.0 if share else -40.0)
     number: dict[str, int] = {}
     word_ids, seg_splits, seg_text = array("i"), array("q", [0]), array("i")
-    held: list[np.ndarray] = []
     for i, text in enumerate(texts):
         ids = [number.setdefault(w, len(number)) for w in words_of(text)]
-        held.append(np.unique(np.array(ids, dtype=np.int32)))
         for start in segment_starts(len(ids)):
             own = ids[start : start + SEGMENT]
             if own:
@@ -182,24 +196,17 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     row_ids = np.concatenate(parts)
     row_splits = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
     del parts, listed
-    # Texts that hold each row: a subword of few texts tells the text, not the class.
-    spread = np.zeros(BUCKETS, dtype=np.int64)
-    for own in held:
-        count = np.diff(row_splits)[own]
-        begin = np.repeat(row_splits[own] - (np.cumsum(count) - count), count)
-        spread[np.unique(row_ids[begin + np.arange(len(begin))])] += 1
     word_ids, seg_splits, seg_text = map(np.array, (word_ids, seg_splits, seg_text))
     n_words = len(row_splits) - 1
     row_share = 1.0 / np.diff(row_splits)
     seg_share = STRETCH / np.diff(seg_splits)
     target = labels_[seg_text]
     row_counts, seg_sizes = np.diff(row_splits), np.diff(seg_splits)
-    used = np.flatnonzero(spread)
-    free = (spread[used] >= LEAST_TEXTS).astype(np.float32)[:, None]
+    used = np.unique(row_ids)
 
     random = np.random.Generator(np.random.PCG64(seed))
     table = np.zeros((BUCKETS, WIDTH), dtype=np.float32)
-    table[used] = free * random.normal(0, 0.1, (len(used), WIDTH)).astype(np.float32)
+    table[used] = random.normal(0, 0.1, (len(used), WIDTH)).astype(np.float32)
     weights = random.normal(0, 0.5, WIDTH).astype(np.float32)
     bias = np.float32(np.log(share / (1 - share)))
     moments = [(np.zeros_like(x), np.zeros_like(x)) for x in (table[used], weights, np.zeros(1, np.float32))]
@@ -223,7 +230,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
             ends = row_splits[[low, min(low + GATHERED, n_words)]]
             weight = np.repeat(to_word[own], row_counts[own])
             to_row += np.bincount(row_ids[ends[0] : ends[1]], weights=weight, minlength=BUCKETS)
-        grad_rows = free * to_row[used].astype(np.float32)[:, None] * weights[None, :]
+        grad_rows = to_row[used].astype(np.float32)[:, None] * weights[None, :]
         table[used] = step(table[used], grad_rows + DECAY * table[used], moments[0], turn)
         weights = step(weights, grad_weights, moments[1], turn)
         bias = step(bias, np.array([error.sum()], dtype=np.float32), moments[2], turn)[0]
@@ -232,27 +239,28 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     highest = np.array(model.highest(texts))
     # Texts that training saw look better apart than they are: the threshold stands
     # between the classes where the smoothed count of errors is least.
-    order = np.argsort(-highest)
-    hits = np.cumsum(labels_[order])
-    wrong = (labels_.sum() - hits) + (np.arange(1, len(order) + 1) - hits)
-    least = int(np.argmin(wrong))
-    after = order[min(least + 1, len(order) - 1)]
-    threshold = (highest[order[least]] + highest[after]) / 2
-    return Model(table, weights, float(bias) - threshold)
+    return Model(table, weights, float(bias) - cut_between(highest, labels_, odds))
 
 
 def training_rows(
     documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, limit: int = TRAINING_TEXTS
-) -> list:
-    """At most `limit` labelled texts whose id is not held out."""
-    known = (
+) -> tuple[list, float]:
+    """At most `limit` labelled texts whose id is not held out, toxic ones up to half of
+    them, and how many times as many labels a toxic one of them stands for as another."""
+    every = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
         .groupBy("id")
         .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(limit)
     )
+    counts = dict(every.groupBy("label").count().collect())
+    clean, toxic = counts.get(0, 0), counts.get(1, 0)
+    taken = {1: min(toxic, max(limit // 2, limit - clean))}
+    taken[0] = min(clean, limit - taken[1])
+    ones, zeros = (
+        every.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(taken[y]) for y in (1, 0)
+    )
+    known = ones.union(zeros)
     texts = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where(
         F.length("text") <= TRAINING_CHARS
     )
@@ -260,7 +268,8 @@ def training_rows(
     rows = texts.join(F.broadcast(known), F.col("doc") == F.col("id")).groupBy("id").agg(
         F.max("label").alias("label"), F.min("text").alias("text")
     )
-    return rows.orderBy("id").collect()
+    odds = toxic * taken[0] / (taken[1] * clean) if taken[0] and taken[1] else 1.0
+    return rows.orderBy("id").collect(), odds
 
 
 def held_out(doc_id):
@@ -269,8 +278,8 @@ def held_out(doc_id):
 
 
 def fit(documents: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="toxic") -> Model:
-    rows = training_rows(documents, labels, doc_id, text, label)
-    return train([r["text"] for r in rows], [r["label"] for r in rows])
+    rows, odds = training_rows(documents, labels, doc_id, text, label)
+    return train([r["text"] for r in rows], [r["label"] for r in rows], odds=odds)
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", result: str = "score") -> DataFrame:

@@ -64,3 +64,39 @@ def test_fit_reads_no_held_out_label(spark):
 def test_without_labels_of_both_classes():
     assert toxicity.train([], []).score("x") < 0.01
     assert toxicity.train(["a", "b"], [1, 1]).score("x") > 0.99
+
+
+def test_ten_labels_are_learned_from():
+    clean, _ = corpus(4, 5, bad="x")
+    toxic = [f"{t} blargist snorkwit" for t in corpus(5, 5, bad="x")[0]]
+    model = toxicity.train(clean + toxic, [0] * 5 + [1] * 5)
+    assert [model.score(t) >= 0.5 for t in clean + toxic] == [False] * 5 + [True] * 5
+    assert model.score("you blargist snorkwit you") > model.score("you nosiel ralt you")
+
+
+def test_a_word_of_few_toxic_texts_is_learned():
+    texts, labels = corpus(1, 500, bad="blargist")
+    seen = [(t, y) for i, (t, y) in enumerate(zip(texts, labels, strict=True)) if not y or i % 35 == 0]
+    assert sum(y for _, y in seen) == 15
+    model = toxicity.train(*map(list, zip(*seen, strict=True)))
+    texts, labels = corpus(2, 200, bad="blargist")
+    ranked = sorted(range(200), key=lambda i: -model.score(texts[i]))
+    assert sum(labels[i] for i in ranked[:40]) >= 36
+
+
+def test_nothing_passes_as_toxic_when_nothing_tells_the_classes_apart():
+    for labels in ([0, 1] * 5, [0] + [1] * 9):
+        model = toxicity.train(["same words here"] * 10, labels)
+        assert model.score("same words here") < 0.5
+
+
+def test_sample_is_filled_by_class(spark):
+    documents = spark.range(2000).selectExpr("id doc_id", "concat('text ', id) text")
+    labels = documents.selectExpr("doc_id", "int(doc_id % 50 = 0) toxic")
+    open_ = [i for i in range(2000) if crc32(str(i).encode()) % 5]
+    toxic = {i for i in open_ if i % 50 == 0}
+    rows, odds = toxicity.training_rows(documents, labels, "doc_id", "text", "toxic", limit=100)
+    assert {r.id for r in rows if r.label} == toxic and len(rows) == 100
+    assert np.isclose(odds, (100 - len(toxic)) / (len(open_) - len(toxic)))
+    few = toxicity.training_rows(documents, labels, "doc_id", "text", "toxic", limit=20)[0]
+    assert sum(r.label for r in few) == 10 and len(few) == 20
