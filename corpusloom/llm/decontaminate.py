@@ -17,10 +17,12 @@ texts at once:
 * Items of the blocks left are bounded once more by their own weights, and then
   scored exactly from their own terms.
 
-A retrieved item is verified on runs of `gram` words of the item that the
-passage holds too: of the question (all but the last sentence), of the answer
-(the last sentence) and of both together, which decides. Items longer than a
-part's `PART_WORDS` words are indexed in parts, each verified alone.
+An item, its question (all but the last sentence) and its answer (the last
+sentence) are indexed each, in parts of at most `PART_WORDS` words. An item with a
+retrieved part is verified on runs of `gram` words that the whole document holds
+too, whatever the item's length: it is found if `least_overlap` of the question's
+runs, of the answer's or of the whole item's are there. A question or answer of fewer
+than `gram` words (than the item, if that is shorter) has no runs and overlap 0.
 
 Documents are only mapped, nothing of them is shuffled. The index is sent to all
 tasks, so the items go through in slices of at most `SLICE_CHARS` characters of
@@ -97,25 +99,23 @@ class Index:
     ids: list
     gram: int
     part_of: np.ndarray = field(init=False)  # item of each part
-    parts: list = field(init=False)  # (all, question, answer) words of each part
+    runs: list = field(init=False)  # runs of words of each item: all, question, answer
 
     def build(self, texts: list[str]) -> Index:
-        self.parts, owner, words = [], [], []
+        self.runs, self.sizes, owner, words = [], [], [], []
         for item, text in enumerate(texts):
-            question, answer = (_words(x) for x in question_and_answer(text))
             every = _words(text)
-            cuts = max(1, -(-len(every) // PART_WORDS))
-            for own, q, a in zip(
-                np.array_split(every, cuts), np.array_split(question, cuts), np.array_split(answer, cuts), strict=True
-            ):
-                if len(own):
-                    owner.append(item)
-                    words.append(own)
-                    # A long item's parts are verified on their own words alone.
-                    sides = (q, a) if cuts == 1 else (own, own)
-                    self.parts.append([np.unique(_grams(x, min(self.gram, len(own)))) for x in (own, *sides)])
+            size = min(self.gram, len(every))
+            sides = [every, *map(_words, question_and_answer(text))]
+            self.sizes.append(size)
+            self.runs.append([np.unique(_grams(x, size)) if len(x) and len(x) >= size else x[:0] for x in sides])
+            for k, own in enumerate(sides):
+                # A side without runs decides nothing; one that is all of the item is indexed already.
+                if len(own) and len(own) >= size and (k == 0 or len(own) < len(every)):
+                    cuts = np.array_split(own, -(-len(own) // PART_WORDS))
+                    owner += [item] * len(cuts)
+                    words += cuts
         self.part_of = np.array(owner, dtype=np.int64)
-        self.sizes = np.array([min(self.gram, len(w)) for w in words], dtype=np.int64)
         self.terms, inverse = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]), return_inverse=True)
         part = np.repeat(np.arange(len(words)), [len(w) for w in words])
         pair, tf = np.unique(inverse.astype(np.int64) * max(1, len(words)) + part, return_counts=True)
@@ -257,14 +257,21 @@ def _share(own: np.ndarray, found: np.ndarray) -> float:
 def find(index: Index, data: np.ndarray, offsets: np.ndarray, least_score: float, least_overlap: float):
     """{(text, item): (score, overlap, question overlap, answer overlap)} of verified matches."""
     hashes, splits = term_hashes(data, offsets)
-    best: dict[tuple[int, int], tuple] = {}
-    for begin, stop, text, part, score in zip(*retrieve(index, hashes, splits, least_score), strict=True):
-        found = _grams(hashes[begin:stop], int(index.sizes[part]))
-        overlap, question, answer = (_share(own, found) for own in index.parts[part])
-        if overlap >= least_overlap:
-            key = (int(text), int(index.part_of[part]))
-            best[key] = max(best.get(key, ()), (overlap, float(score), question, answer))
-    return {k: (score, overlap, q, a) for k, (overlap, score, q, a) in best.items()}
+    best: dict[tuple[int, int], float] = {}
+    _, _, texts, parts, scores = retrieve(index, hashes, splits, least_score)
+    for key, score in zip(zip(texts.tolist(), index.part_of[parts].tolist(), strict=True), scores.tolist(), strict=True):
+        best[key] = max(best.get(key, 0.0), score)
+    out, last, found = {}, -1, {}
+    for text, item in sorted(best):
+        if text != last:
+            last, found = text, {}
+        size = index.sizes[item]
+        if size not in found:
+            found[size] = _grams(hashes[splits[text] : splits[text + 1]], size)
+        shares = [_share(own, found[size]) for own in index.runs[item]]
+        if max(shares) >= least_overlap:
+            out[text, item] = (best[text, item], *shares)
+    return out
 
 
 def _indexes(items: DataFrame, item_id: str, text: str, gram: int) -> Iterator[Index]:

@@ -80,3 +80,29 @@ def test_empty_tables(spark, odd):
     assert decontaminate.matches(odd(rows=[]), table, ["doc_id"]).collect() == []
     assert decontaminate.matches(odd(), table.limit(0), ["doc_id"]).collect() == []
     assert decontaminate.clean(odd(), table.limit(0)).count() == odd().count()
+
+
+def found(item, doc):
+    import pyarrow as pa
+
+    index = decontaminate.Index([0], 5).build([item])
+    (_, data, offsets), = text_slices(pa.array([doc.lower()]))
+    return decontaminate.find(index, data, offsets, 0.5, 0.5).get((0, 0))
+
+
+def test_question_or_answer_alone_is_found_at_any_length():
+    for length in (60, 64, 65, 200):
+        own = [f"t{i}" for i in range(length)]
+        for cut in (length // 3, length - length // 3):
+            question, answer = " ".join(own[:cut]), " ".join(own[cut:])
+            item = f"{question}? {answer}."
+            assert found(item, f"before it {question} behind")[2:] == (1.0, 0.0)
+            assert found(item, f"before it {answer} behind")[2:] == (0.0, 1.0)
+        # One sentence: less than half of its runs is not the item.
+        assert found(" ".join(own), " ".join(own[: length // 3])) is None
+        assert found(" ".join(own), " ".join(own[: length // 2 + 5])) is not None
+
+
+def test_short_answers_do_not_decide_alone():
+    item = " ".join(f"t{i}" for i in range(30)) + "? Yes."
+    assert found(item, "they said yes to it") is None
