@@ -73,8 +73,42 @@ t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::
 SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5
 """
 
+
+
+def _round(i: int) -> str:
+    """Assignment to the centroids of round `i`."""
+    return f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT r, c, list_sum(list_transform(list_zip(e.v, c{i}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM e CROSS JOIN c{i}) GROUP BY r)"""
+
+
+def _move(i: int) -> str:
+    """The centroids after round `i`: floored means, or where they were."""
+    return f"""s{i} AS (
+  SELECT c, j, sum(x) AS s, count(*) AS n FROM (
+    SELECT a{i}.c, unnest(e.v) AS x, unnest(range(1, 65)) AS j FROM a{i} JOIN e USING (r)) GROUP BY c, j),
+m{i} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))"""
+
+
+OP13 = f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM e QUALIFY c < 40),
+{", ".join(f"{_round(i)}, {_move(i)}" for i in range(5))}, {_round(5)}
+SELECT vec_id, a5.c::INTEGER AS cluster, d AS distance,
+       sum(d) OVER (PARTITION BY a5.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a5 JOIN e USING (r) JOIN c5 ON c5.c = a5.c
+"""
+
 LLM_ORACLE = {
     "op4_exact_topk": OP4,
+    "op13_centroid_clustering": OP13,
     "op5_secret_scan": OP5,
     "op7_warc": OP7,
     "op8_line_dedup": OP8,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, jaccard, lines, packing, secrets, suffixes, topk, toxicity, warc
+from corpusloom.llm import centroids, decontaminate, extract, jaccard, lines, packing, secrets, suffixes, topk, toxicity, warc
 from corpusloom.llm.workers import table
 from corpusloom.session import shared_folder
 
@@ -108,6 +108,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(documents, table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole vector of 64 components with its cluster after five rounds of 40 centroids."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    found = centroids.cluster(embeddings, "vec_id", "embedding", k=40, rounds=5, width=64, scale=256.0, seed=2)
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 LLM_QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -119,4 +128,5 @@ LLM_QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return connection
 
