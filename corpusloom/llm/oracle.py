@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusloom.llm import quality
 from corpusloom.llm.secrets import RULES
 
 
@@ -74,6 +75,86 @@ SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5
 """
 
 
+_VOTES = " || ".join(
+    f"CASE WHEN ({r.when}) AND ({r.bad}) THEN 'b' WHEN ({r.when}) AND ({r.good}) THEN 'g' ELSE '-' END"
+    for r in quality.RULES
+)
+_EACH = range(1, len(quality.RULES) + 1)
+_PRIOR = quality.Prior()
+
+
+def _chance(rates: str, vote: str, other: str) -> str:
+    each = (f"CASE p.v[{j}] WHEN '{vote}' THEN {rates}[{j}] WHEN '{other}' THEN 1 - {rates}[{j}] ELSE 1 END" for j in _EACH)
+    return "(1::DOUBLE * " + " * ".join(each) + ")"
+
+
+_GOOD_SHARE = (
+    f"(good * {_chance('on_good', 'g', 'b')}) / (good * {_chance('on_good', 'g', 'b')}"
+    f" + (1 - good) * {_chance('on_bad', 'b', 'g')})"
+)
+
+
+def _inside(x: str) -> str:
+    return f"least(greatest({x}, {quality.EDGE}::DOUBLE), 1 - {quality.EDGE}::DOUBLE)"
+
+
+def _rate(j: int, believed: float, vote: str, mass: str) -> str:
+    hit = f"list_sum(list_transform(w, lambda p: CASE WHEN p.v[{j}] = '{vote}' THEN {mass} ELSE 0::DOUBLE END))"
+    voted = f"list_sum(list_transform(w, lambda p: CASE WHEN p.v[{j}] <> '-' THEN {mass} ELSE 0::DOUBLE END))"
+    return _inside(f"({_PRIOR.weight * believed}::DOUBLE + {hit}) / ({_PRIOR.weight}::DOUBLE + {voted})")
+
+
+def _listed(values) -> str:
+    return f"[{', '.join(values)}]"
+
+
+OP11 = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS MATERIALIZED (
+  SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda w: w <> '') AS ws,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS ls FROM d),
+windows AS (
+  SELECT r, i, ws[i:i + 4] AS w FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM s WHERE len(ws) >= 5)),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range(5)) AS k FROM twice) GROUP BY r),
+f AS (
+  SELECT s.r, doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
+    length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS n_letters,
+    length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS n_capitals,
+    len(ls) AS n_word_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    len(list_filter(ls, lambda l: regexp_matches(l, '[.!?][ 	-]*\z'))) AS n_ended_lines,
+    len(list_distinct(ws)) AS n_distinct_words,
+    len(list_filter(ws, lambda w: regexp_matches(w, '\p{{L}}'))) AS n_letter_words,
+    len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_echoes,
+    coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM s LEFT JOIN covered USING (r)),
+voted AS MATERIALIZED (SELECT *, {_VOTES} AS votes FROM f),
+counted AS (SELECT votes, count(*)::DOUBLE AS n FROM voted GROUP BY votes),
+patterns AS MATERIALIZED (SELECT list({{'v': string_split(votes, ''), 'n': n}} ORDER BY votes) AS ps FROM counted),
+em AS (
+  SELECT 0 AS i, {_PRIOR.good}::DOUBLE AS good,
+    {_listed([f"{_PRIOR.right_on_good}::DOUBLE"] * len(_EACH))} AS on_good,
+    {_listed([f"{_PRIOR.right_on_bad}::DOUBLE"] * len(_EACH))} AS on_bad
+  UNION ALL
+  SELECT i + 1,
+    {_inside(f"({_PRIOR.weight * _PRIOR.good}::DOUBLE + list_sum(list_transform(w, lambda p: p.g))) / ({_PRIOR.weight}::DOUBLE + list_sum(list_transform(w, lambda p: p.n)))")},
+    {_listed(_rate(j, _PRIOR.right_on_good, 'g', 'p.g') for j in _EACH)},
+    {_listed(_rate(j, _PRIOR.right_on_bad, 'b', '(p.n - p.g)') for j in _EACH)}
+  FROM (SELECT i, list_transform(ps, lambda p: {{'v': p.v, 'n': p.n, 'g': p.n * ({_GOOD_SHARE})}}) AS w
+        FROM em CROSS JOIN patterns WHERE i < {quality.ITERATIONS})),
+fitted AS (SELECT * FROM em WHERE i = {quality.ITERATIONS}),
+posterior AS (
+  SELECT array_to_string(p.v, '') AS votes, {_GOOD_SHARE} AS quality
+  FROM (SELECT unnest(ps) AS p, good, on_good, on_bad FROM patterns CROSS JOIN fitted))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND quality >= 0.5 AS kept,
+       votes, round(quality, 4) AS quality
+FROM voted JOIN posterior USING (votes)
+"""
+
 
 def _round(i: int) -> str:
     """Assignment to the centroids of round `i`."""
@@ -108,6 +189,7 @@ FROM a5 JOIN e USING (r) JOIN c5 ON c5.c = a5.c
 
 LLM_ORACLE = {
     "op4_exact_topk": OP4,
+    "op11_quality_rules": OP11,
     "op13_centroid_clustering": OP13,
     "op5_secret_scan": OP5,
     "op7_warc": OP7,

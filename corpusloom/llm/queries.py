@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import centroids, decontaminate, extract, jaccard, lines, packing, secrets, suffixes, topk, toxicity, warc
+from corpusloom.llm import centroids, decontaminate, extract, jaccard, lines, packing, quality, secrets, suffixes, topk, toxicity, warc
 from corpusloom.llm.workers import table
 from corpusloom.session import shared_folder
 
@@ -108,6 +108,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(documents, table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's facts, its rules' votes, and the label model's verdict."""
+    documents = table(spark, sf_dir, "documents")
+    return quality.assess(documents, ["doc_id"], "text").select(
+        "key.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "votes",
+        F.round("quality", 4).alias("quality"),
+    )
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole vector of 64 components with its cluster after five rounds of 40 centroids."""
     embeddings = table(spark, sf_dir, "embeddings")
@@ -128,5 +145,6 @@ LLM_QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_quality_rules": op11_quality_rules,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
