@@ -112,8 +112,10 @@ OP11 = rf"""
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 s AS MATERIALIZED (
-  SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda w: w <> '') AS ws,
-         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS ls FROM d),
+  SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[ 	-
+]+'), lambda w: w <> '') AS ws,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS ls FROM d),
 windows AS (
   SELECT r, i, ws[i:i + 4] AS w FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM s WHERE len(ws) >= 5)),
 twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
@@ -124,7 +126,8 @@ f AS (
     length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS n_letters,
     length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS n_capitals,
     len(ls) AS n_word_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-    len(list_filter(ls, lambda l: regexp_matches(l, '[.!?][ 	-]*\z'))) AS n_ended_lines,
+    len(list_filter(ls, lambda l: regexp_matches(l, '[.!?][ 	-
+]*\z'))) AS n_ended_lines,
     len(list_distinct(ws)) AS n_distinct_words,
     len(list_filter(ws, lambda w: regexp_matches(w, '\p{{L}}'))) AS n_letter_words,
     len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_echoes,
@@ -187,9 +190,84 @@ SELECT vec_id, a5.c::INTEGER AS cluster, d AS distance,
 FROM a5 JOIN e USING (r) JOIN c5 ON c5.c = a5.c
 """
 
+
+def _fill(state: int) -> tuple[str, int]:
+    return ("assistant", 4) if state == 3 else ("user", 3)
+
+
+def _taken(row: str, cost: str, letter: str, state: str, line: str = "") -> str:
+    """The best way on from `state` after one more edit."""
+    kept = f"[{line}] || {row}[{state}].o" if line else f"{row}[{state}].o"
+    return f"{{'c': {row}[{state}].c + {cost}, 'a': '{letter}' || {row}[{state}].a, 'o': {kept}}}"
+
+
+def _on_row(state: int) -> str:
+    """Delete, keep or set the role of a row; states 1 to 4 are none, system, user, assistant."""
+    legal = {1: {"s": 2, "u": 3}, 2: {"u": 3}, 3: {"a": 4}, 4: {"u": 3}}[state]
+    role, to = _fill(state)
+    choices = [f"[{_taken('f', '3', 'D', str(state))}]"]
+    for initial, after in legal.items():
+        keep = _taken("f", "worn", "K", str(after), "role || ':' || text")
+        choices.append(f"CASE WHEN NOT gone AND role[1:1] = '{initial}' THEN [{keep}] ELSE [] END")
+    rerole = _taken("f", "worn + 2", "R", str(to), f"'{role}:' || text")
+    choices.append(f"CASE WHEN NOT gone THEN [{rerole}] ELSE [] END")
+    return f"list_sort({' || '.join(choices)})[1]"
+
+
+def _with_insert(state: int, row: str) -> str:
+    role, to = _fill(state)
+    line = f"'{role}:'"
+    return f"list_sort([b[{state}], {_taken(row, '2', 'I', str(to), line)}])[1]"
+
+
+# The bitwise form of the checksum: 3988292384 is its polynomial, reversed.
+OP12 = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(
+          string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+          lambda c: list_transform(range(8), lambda i: (ord(c)::BIGINT >> i) & 1))),
+        lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END),
+      4294967295::BIGINT) % 20 AS fate FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy FROM keyed WHERE fate <> 0),
+placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS conv,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut FROM damaged),
+rows AS MATERIALIZED (
+  SELECT *, blank OR again AS gone, CASE WHEN cut THEN 1 ELSE 0 END AS worn,
+    lag(role[1:1]) OVER (PARTITION BY conv ORDER BY i) || role[1:1] AS pair FROM placed),
+facts AS (
+  SELECT conv, any_value(conv_id) AS conv_id, count(*) AS n,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+    count(*) FILTER (NOT gone AND cut) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv),
+steps AS (
+  SELECT conv, n AS i, [
+    {{'c': 0, 'a': '', 'o': []::VARCHAR[]}}, {{'c': 4, 'a': 'II', 'o': ['user:', 'assistant:']}},
+    {{'c': 2, 'a': 'I', 'o': ['assistant:']}}, {{'c': 0, 'a': '', 'o': []::VARCHAR[]}}] AS f FROM facts
+  UNION ALL
+  SELECT conv, i - 1, [{_with_insert(1, 'w')}, {_with_insert(2, 'w')}, w[3], w[4]] FROM (
+    SELECT conv, i, b, [b[1], b[2], {_with_insert(3, 'b')}, {_with_insert(4, 'b')}] AS w FROM (
+      SELECT conv, steps.i, [{", ".join(map(_on_row, range(1, 5)))}] AS b FROM steps JOIN rows USING (conv, i)))),
+best AS (SELECT conv, f[1] AS f FROM steps WHERE i = 0),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(f.c, 0)::BIGINT AS cost,
+       coalesce(f.a, '') AS audit, sha256(coalesce(array_to_string(f.o, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN facts ON ids.conv_id IS NOT DISTINCT FROM facts.conv_id LEFT JOIN best USING (conv)
+"""
+
 LLM_ORACLE = {
     "op4_exact_topk": OP4,
     "op11_quality_rules": OP11,
+    "op12_conversation_repair": OP12,
     "op13_centroid_clustering": OP13,
     "op5_secret_scan": OP5,
     "op7_warc": OP7,

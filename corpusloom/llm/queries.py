@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import centroids, decontaminate, extract, jaccard, lines, packing, quality, secrets, suffixes, topk, toxicity, warc
+from corpusloom.llm import centroids, decontaminate, dialogue, extract, jaccard, lines, packing, quality, secrets, suffixes, topk, toxicity, warc
 from corpusloom.llm.workers import table
 from corpusloom.session import shared_folder
 
@@ -125,6 +125,36 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """Rows damaged by the hash of `conv_id:turn`: 0 drops, 1 empties, 2 takes the
+    ends of sentences away, 3 repeats, 4 makes a user row. Nulls are one space."""
+    space = F.lit(" ")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    fate = F.crc32(name.cast("binary")) % 20
+    return (
+        conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), fate.alias("fate"))
+        .where("fate != 0")
+        .withColumn(
+            "text",
+            F.when(F.col("fate") == 1, "")
+            .when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text")),
+        )
+        .withColumn("role", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")))
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.when(F.col("fate") == 3, 2).otherwise(1))))
+        .drop("fate", "copy")
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged, with its faults and its cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    damaged = damaged_conversations(conversations)
+    found = dialogue.repair(damaged, "conv_id", "turn", "role", "text", ids=conversations.select("conv_id"))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole vector of 64 components with its cluster after five rounds of 40 centroids."""
     embeddings = table(spark, sf_dir, "embeddings")
@@ -146,5 +176,6 @@ LLM_QUERIES = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_quality_rules": op11_quality_rules,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
