@@ -9,16 +9,33 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import GRAM_BYTES, has_grams, normalized_bytes
 
-# Fixed value of the stored layout: postings are split over this many folders.
-GRAM_BUCKETS = 256
+# Fixed values of the stored layout: two tiers for each doubling of the windows of a
+# document; documents of fewer than 2^10 windows share the lowest one.
+TIERS_PER_DOUBLING = 2
+LOWEST_TIER = 10 * TIERS_PER_DOUBLING
 
 # Windows generated from one slice of a text. Bounds the memory of a row,
 # whatever the length of its text.
 _SLICE = 64 * 1024
 
 
-def gram_bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(GRAM_BUCKETS)).cast("int")
+def window_count(text_cols: Sequence[str]) -> Column:
+    """How many grams the texts of a document have."""
+    return sum(
+        F.greatest(F.octet_length(F.coalesce(c, F.lit(""))) - (GRAM_BYTES - 1), F.lit(0)).cast("long")
+        for c in text_cols
+    )
+
+
+def size_tier(windows: Column) -> Column:
+    """The tier of a document by its windows."""
+    step = F.floor(F.log2(F.greatest(windows, F.lit(1))) * TIERS_PER_DOUBLING)
+    return F.greatest(step, F.lit(LOWEST_TIER)).cast("int")
+
+
+def tier_limit(tier: Column) -> Column:
+    """More windows than any document of a tier has, so more hits than it can get."""
+    return F.ceil(F.pow(F.lit(2.0), (tier + 1) / TIERS_PER_DOUBLING)) + 1
 
 
 def explode_grams(documents: DataFrame, id_col: str, text_cols: Sequence[str]) -> DataFrame:

@@ -10,6 +10,9 @@ from corpusloom.session import Workspace
 # Fixed value of the stored layout: ids per folder of an entity table.
 BLOCK_ROWS = 1_000_000
 
+# Fixed value of the stored layout: folders of a key table.
+KEY_PARTS = 128
+
 # monotonically_increasing_id() keeps the row number within a partition in its
 # lower 33 bits and the partition number above them.
 _ROW_BITS = 33
@@ -19,6 +22,10 @@ def id_block(id_col: str) -> Column:
     return F.expr(f"{id_col} div {BLOCK_ROWS}")
 
 
+def key_part(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_PARTS)).cast("int")
+
+
 def dense_ids(
     rows: DataFrame, order_by: list[str], id_col: str, after: int, work: Workspace
 ) -> DataFrame:

@@ -207,6 +207,9 @@ GROUP BY doc_id""",
     "search_batch": _search(
         STORED, "stored", _query_grams("benchmark", "item_id", "text"), "query_id, " + FOUND
     ),
+    "full_pipeline": _search(
+        STORED, "stored", _query_grams("benchmark", "item_id", "text"), "query_id, " + FOUND
+    ),
     "search_batch_conversations": _search(
         STORED,
         "stored",
@@ -255,6 +258,18 @@ SELECT file_path,
             WHEN doc_id % 10 IN (3, 7) THEN 'no_metadata'
             ELSE 'no_doi' END AS reason
 FROM records WHERE doc_id % 10 NOT IN (0, 8)""",
+    "records_repeated_keys": f"""
+WITH {RECORDS},
+listed AS (
+  SELECT doc_id, string_agg(first_name || ' ' || last_name || ' ' || initial, '|'
+                            ORDER BY author_order) AS authors
+  FROM record_authors GROUP BY doc_id),
+good AS (SELECT *, doc_id % 5 < 4 AS ok FROM records LEFT JOIN listed USING (doc_id))
+SELECT CASE WHEN NOT ok THEN 'bad_json' END AS reason, file_path, CASE WHEN ok THEN doi END AS doi,
+       CASE WHEN ok THEN title END AS title, CASE WHEN ok THEN abstract END AS abstract,
+       CASE WHEN ok THEN issn END AS issn, CASE WHEN ok THEN pub_year ELSE 0 END AS pub_year,
+       CASE WHEN ok THEN coalesce(authors, '') ELSE '' END AS authors
+FROM good""",
     "author_cap": """
 SELECT l_partkey::varchar AS doi, author_order, l_orderkey AS orderkey, l_suppkey AS suppkey,
        '' AS initial
@@ -331,6 +346,25 @@ SELECT doi, title, abstract,
        (SELECT count(*) FILTER (doc_id % 10 = 0) FROM records) AS parse_errors,
        (SELECT count(*) FROM stored) AS files_processed
 FROM stored""",
+    "ingest_manifest": f"""
+WITH {STORED},
+n AS (
+  SELECT (SELECT count(*) FROM records) AS f, (SELECT count(*) FROM records WHERE doc_id % 4 = 0) AS b,
+         (SELECT count(*) FROM stored) AS d)
+SELECT f + b + 3 AS files_seen, b + 3 AS parse_errors, f - d AS duplicate_files,
+       d AS files_processed, d AS documents_inserted, d AS last_document_id
+FROM n""",
+    "stream_relations": f"""
+WITH {STORED}
+SELECT doi, min(author_order) AS author_order, first_name, last_name, initial
+FROM staged GROUP BY doi, first_name, last_name, initial""",
+    "index_compacted": f"""
+WITH {STORED}
+SELECT doi,
+       (greatest(octet_length(encode(title)) - 2, 0)
+        + greatest(octet_length(encode(abstract)) - 2, 0))::bigint AS index_rows
+FROM stored
+WHERE greatest(octet_length(encode(title)), octet_length(encode(abstract))) > 2""",
     "stream_ingest": f"""
 WITH {STORED}
 SELECT doi, title, abstract,

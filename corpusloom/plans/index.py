@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.grams import count_grams
+from corpusloom.operators.grams import count_grams, size_tier, window_count
+from corpusloom.session import Workspace
 from corpusloom.sources.tables import Tables
 
 TEXT = ("title", "abstract")
 
-# Bytes of text per counting task of a large index.
-_BYTES_PER_TASK = 16 << 20
+# Bytes of text per bucket of an index, and so per counting task.
+_BYTES_PER_BUCKET = 16 << 20
 
 
 def build_postings(documents: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -21,40 +23,68 @@ def build_postings(documents: DataFrame, partitions: int | None = None) -> DataF
     return count_grams(documents, "id", TEXT, partitions)
 
 
-def _tasks(documents: DataFrame) -> int | None:
-    """Counting tasks for stored documents, from the bytes of their texts; None
-    leaves small tables to the session's setting."""
-    size = F.sum(sum(F.octet_length(F.coalesce(c, F.lit(""))).cast("long") for c in TEXT))
-    tasks = (documents.agg(size).first()[0] or 0) // _BYTES_PER_TASK
-    usual = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tasks if tasks > usual else None
+def _measured(documents: DataFrame, load_id: Column, work: Workspace) -> DataFrame:
+    """Per load its documents, their grams and the bytes of their texts."""
+    size = sum(F.octet_length(F.coalesce(c, F.lit(""))).cast("long") for c in TEXT)
+    loads = documents.groupBy(load_id.alias("load_id")).agg(
+        F.count("*").alias("docs_indexed"),
+        F.sum(window_count(TEXT)).alias("grams_generated"),
+        F.sum(size).alias("bytes"),
+    )
+    return work.save(loads, "loads")
 
 
-def build_index(
-    tables: Tables, mode: str = "overwrite", partitions: int | None = None
-) -> None:
+def _buckets(loads: DataFrame) -> int:
+    usual = int(loads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, (loads.agg(F.sum("bytes")).first()[0] or 0) // _BYTES_PER_BUCKET)
+
+
+def _placed(documents: DataFrame, buckets: int) -> DataFrame:
+    """Postings with the load and the tier of their document.
+
+    The counted rows are spread by document already, into as many parts as the
+    index has buckets; only the ids move to meet them, and each task then writes
+    one bucket.
+    """
+    owners = documents.select(
+        F.col("id").alias("doc_id"), "load_id", size_tier(window_count(TEXT)).alias("tier")
+    )
+    return build_postings(documents, buckets).join(owners.hint("shuffle_hash"), "doc_id")
+
+
+def build_index(tables: Tables, mode: str = "overwrite", partitions: int | None = None) -> None:
     """Index all stored documents.
 
-    `overwrite` replaces the index. `append` adds the postings of all documents
-    once more, so that every hit count grows by the same amount again.
+    `overwrite` replaces the index, in `partitions` buckets or as many as the texts
+    need. `append` adds the postings of all documents once more, so that every hit
+    count grows by the same amount again.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
     documents = tables.documents()
-    postings = build_postings(documents, partitions or _tasks(documents))
     if mode == "append":
-        postings = postings.withColumn("load_id", F.lit(f"again-{uuid.uuid4().hex}"))
-    else:
-        # Each document's postings stay under the load that owns it, so a load
-        # indexed again replaces them. The counted rows are spread by document
-        # already; only the ids move to meet them.
-        owners = documents.select(F.col("id").alias("doc_id"), "load_id")
-        postings = postings.join(owners, "doc_id")
-    tables.write_postings(postings, whole=mode == "overwrite")
+        _index_as(tables, documents, f"{tables.AGAIN}{uuid.uuid4().hex}", partitions)
+        return
+    started = time.monotonic()
+    work = Workspace(tables.spark)
+    loads = _measured(documents, F.col("load_id"), work)
+    buckets = partitions or _buckets(loads)
+    tables.index_all(_placed(documents, buckets), loads.drop("bytes"), buckets, started)
+    work.clear()
 
 
 def index_load(tables: Tables, load_id: str, partitions: int | None = None) -> None:
-    """Index only the documents one load has added; can be repeated."""
-    added = tables.documents().where(F.col("load_id") == load_id)
-    postings = build_postings(added, partitions or _tasks(added))
-    tables.write_postings(postings.withColumn("load_id", F.lit(load_id)), whole=False)
+    """Index only the documents one load has added; can be repeated. A load that was
+    merged into another is in the index already."""
+    if tables.is_merged(load_id):
+        return
+    _index_as(tables, tables.documents().where(F.col("load_id") == load_id), load_id, partitions)
+
+
+def _index_as(tables: Tables, documents: DataFrame, load_id: str, partitions: int | None) -> None:
+    started = time.monotonic()
+    work = Workspace(tables.spark)
+    loads = _measured(documents, F.lit(load_id), work)
+    buckets = tables.open_index(partitions or _buckets(loads))
+    tables.index_load(_placed(documents, buckets), load_id, loads.drop("bytes"), started)
+    work.clear()

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.plans.normalize import Load, normalize
-from corpusloom.schemas import LOADS
+from corpusloom.schemas import AUTHOR_KEYS, DOCUMENT_KEYS, LOADS
 from corpusloom.session import Workspace
-from corpusloom.sources.files import read_files
+from corpusloom.sources.files import list_files, read_files
 from corpusloom.sources.records import parse_records
 from corpusloom.sources.tables import Tables
 
@@ -21,12 +21,14 @@ def ingest(
 ) -> DataFrame:
     """Read every article file below `path` into `tables` as one run.
 
-    Returns the report row of the run. Running it again over the same files
+    Returns the report row of the run. A file that is empty or cannot be read is a
+    counted error, and the run goes on. Running it again over the same files
     adds nothing; after a crash, running it again completes it.
     """
     run_id = run_id or uuid.uuid4().hex
-    records = parse_records(read_files(tables.spark, path), author_limit)
-    load_records(tables, records, run_id, run_id)
+    listed = list_files(tables.spark, path)
+    records = parse_records(read_files(tables.spark, path, skip_unreadable=True), author_limit)
+    load_records(tables, records, run_id, run_id, listed_files=listed)
     return tables.loads().where(F.col("run_id") == run_id)
 
 
@@ -37,26 +39,36 @@ def load_records(
     load_id: str,
     batch: int = 0,
     claimed: DataFrame | None = None,
+    listed_files: DataFrame | None = None,
 ) -> None:
     """Normalise records and append authors, documents, then relations.
 
-    Every step inserts only keys that are absent, so a load that was cut off
-    can be repeated as it is.
+    A load is seen as a whole or not at all: its row in `loads` comes last. One that
+    was cut off is taken back by the load that comes next, the same one or another.
     """
     started = time.monotonic()
     work = Workspace(tables.spark)
     try:
-        load = normalize(
-            records, tables.documents(), tables.authors(), tables.relations(), work, claimed
-        )
-        tables.append_entities(load.authors, "authors", "id", load_id)
-        tables.append_entities(load.documents, "documents", "id", load_id)
+        tables.begin(load_id)
+        load = normalize(records, tables, work, claimed, listed_files)
+        # What a load adds is worked out in written tables, so asking is cheap.
+        if not load.authors.isEmpty():
+            tables.append_entities(load.authors, "authors", "id", load_id)
+            tables.append_keys(load.authors, "author_keys", AUTHOR_KEYS, load_id)
+        if not load.new_keys.isEmpty():
+            tables.append_entities(load.documents, "documents", "id", load_id)
+            tables.append_keys(load.new_keys, "document_keys", DOCUMENT_KEYS, load_id)
+            tables.write_results(load_id)
         tables.append_entities(load.relations, "documents_x_authors", "document_id", load_id)
         if claimed is not None:
             tables.claim_dois(load.winners, run_id, batch)
-        counted = load_counts(load, _inserted(tables, load_id)).select(
+        stored = tables.stored_by(load_id)
+        last_document, last_author = tables.last_ids()
+        counted = load_counts(load, stored, last_document, last_author).select(
             F.lit(batch).cast("bigint").alias("batch"),
             *[f.name for f in LOADS.fields if f.name.endswith(COUNT_SUFFIXES)],
+            "last_document_id",
+            "last_author_id",
             F.lit(time.monotonic() - started).alias("seconds"),
             F.lit(run_id).alias("run_id"),
             F.lit(load_id).alias("load_id"),
@@ -69,18 +81,9 @@ def load_records(
 COUNT_SUFFIXES = ("_seen", "_errors", "_files", "_processed", "_staged", "_inserted")
 
 
-def _inserted(tables: Tables, load_id: str) -> dict[str, DataFrame]:
-    """What the load has stored, also by an attempt before this one."""
-    mine = F.col("load_id") == load_id
-    return {
-        "documents_inserted": tables.documents().where(mine),
-        "authors_inserted": tables.authors().where(mine),
-        "relations_inserted": tables.relations().where(mine),
-    }
-
-
-def load_counts(load: Load, inserted: dict[str, DataFrame]) -> DataFrame:
-    """One row of counters, from one small aggregate per table."""
+def load_counts(load: Load, stored: dict[str, DataFrame], last_document: int, last_author: int) -> DataFrame:
+    """One row of counters, from one small aggregate per table; `stored` are the rows
+    that the load has added."""
     counters = {
         "files_seen": F.count(F.lit(1)),
         "parse_errors": F.count("reason"),
@@ -89,14 +92,19 @@ def load_counts(load: Load, inserted: dict[str, DataFrame]) -> DataFrame:
     rows = load.records.agg(*[c.cast("bigint").alias(n) for n, c in counters.items()])
     rows = rows.unpivot([], list(counters), "counter", "n")
     used = load.records.join(load.winners, "file_path", "left_semi")
+    names = list(counters)
     for name, frame, n in [
         ("files_processed", load.winners, F.count(F.lit(1))),
         ("authors_staged", used, F.coalesce(F.sum(F.size("authors")), F.lit(0))),
-        *[(name, frame, F.count(F.lit(1))) for name, frame in inserted.items()],
+        ("documents_inserted", stored["documents"], F.count(F.lit(1))),
+        ("authors_inserted", stored["authors"], F.count(F.lit(1))),
+        ("relations_inserted", stored["documents_x_authors"], F.count(F.lit(1))),
+        ("last_document_id", stored["documents"], F.coalesce(F.max("id"), F.lit(last_document))),
+        ("last_author_id", stored["authors"], F.coalesce(F.max("id"), F.lit(last_author))),
     ]:
         one = frame.agg(n.cast("bigint").alias("n"))
         rows = rows.unionByName(one.select(F.lit(name).alias("counter"), "n"))
-    names = [*counters, "files_processed", "authors_staged", *inserted]
+        names.append(name)
     wide = rows.agg(
         *[F.max(F.when(F.col("counter") == n, F.col("n"))).alias(n) for n in names]
     )

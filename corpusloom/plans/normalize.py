@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from corpusloom.operators.dedup import explode_authors, first_files, first_relations
 from corpusloom.operators.keys import dense_ids, id_block
 from corpusloom.operators.lookup import absent, stored_already
+from corpusloom.schemas import AUTHOR_KEYS, DOCUMENT_KEYS
 from corpusloom.session import Workspace
-from corpusloom.sources.records import accepted
+from corpusloom.sources.records import accepted, unread
+from corpusloom.sources.tables import Tables
 
 NAME = ["first_name", "last_name", "initial"]
 
@@ -23,28 +25,25 @@ class Load:
     records:   all parsed files, rejected ones with their reason
     winners:   (doi, file_path) of the files whose content is used
     listed:    the authors those files list
+    new_keys:  (id, doi, file_path) of the documents to insert
     documents, authors, relations: the rows to insert
     """
 
     records: DataFrame
     winners: DataFrame
     listed: DataFrame
+    new_keys: DataFrame
     documents: DataFrame
     authors: DataFrame
     relations: DataFrame
 
 
-def _last_id(table: DataFrame) -> int:
-    return table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-
-
 def normalize(
     records: DataFrame,
-    documents: DataFrame,
-    authors: DataFrame,
-    relations: DataFrame,
+    tables: Tables,
     work: Workspace,
     claimed: DataFrame | None = None,
+    listed_files: DataFrame | None = None,
 ) -> Load:
     """The new rows of one run over `records`, given what is stored already.
 
@@ -52,24 +51,27 @@ def normalize(
     brings the metadata and the authors, the others are dropped whole. A DOI
     stored by an earlier run keeps its metadata, but authors that the new file
     lists are added and attached to it. `claimed` holds DOIs that earlier
-    micro-batches of the same run have used.
+    micro-batches of the same run have used. `listed_files` are the files that should
+    have given records; those that did not become records with a reason.
 
     Records, winners and author rows are written once and read column-pruned
     from there. Everything up to the ids moves keys only; the texts move once,
-    joined by file path, which no two records share.
+    joined by file path, which no two records share. Ids that keys have already
+    come from the key tables.
     """
     records = work.save(records, "records")
     good = accepted(records)
+    if listed_files is not None:
+        records = records.unionByName(unread(listed_files, records), allowMissingColumns=True)
     winners = work.save(first_files(good), "first-files")
     if claimed is not None:
         taken = stored_already(claimed, winners, ["doi"])
         winners = work.save(absent(winners, taken, ["doi"]), "winners")
 
-    known = stored_already(documents.select("doi", "id"), winners, ["doi"])
+    last_document, last_author = tables.last_ids()
+    known = tables.known_ids("document_keys", DOCUMENT_KEYS, winners)
     known = work.save(known.select("doi", F.col("id").alias("document_id")), "known-documents")
-    new_keys = dense_ids(
-        absent(winners, known, ["doi"]), ["doi"], "id", _last_id(documents), work
-    )
+    new_keys = dense_ids(absent(winners, known, ["doi"]), ["doi"], "id", last_document, work)
     new_documents = (
         good.drop("doi", "authors", "reason")
         .join(new_keys, "file_path")
@@ -84,23 +86,17 @@ def normalize(
     listed = good.select("file_path", "authors").join(winners, "file_path")
     listed = work.save(explode_authors(listed, "doi"), "listed-authors")
     names = work.save(listed.select(*NAME).distinct(), "author-names")
-    known_authors = stored_already(authors.select("id", *NAME), names, NAME)
-    known_authors = work.save(known_authors, "known-authors")
-    new_authors = dense_ids(
-        absent(names, known_authors, NAME), NAME, "id", _last_id(authors), work
-    )
+    known_authors = work.save(tables.known_ids("author_keys", AUTHOR_KEYS, names), "known-authors")
+    new_authors = dense_ids(absent(names, known_authors, NAME), NAME, "id", last_author, work)
 
     document_ids = known.unionByName(new_keys.select("doi", F.col("id").alias("document_id")))
-    author_ids = known_authors.unionByName(new_authors.select("id", *NAME))
+    author_ids = known_authors.select("id", *NAME).unionByName(new_authors.select("id", *NAME))
     linked = (
         listed.join(document_ids, "doi")
         .join(author_ids.withColumnRenamed("id", "author_id"), NAME)
         .select("document_id", "author_id", "author_order")
     )
-    on = ["document_id"]
-    if "id_block" in relations.columns:
-        known = known.withColumn("id_block", id_block("document_id"))
-        on = ["id_block", "document_id"]
-    kept = stored_already(relations, known, on)
+    known = known.withColumn("id_block", id_block("document_id"))
+    kept = stored_already(tables.relations(), known, ["id_block", "document_id"])
     new_relations = absent(first_relations(linked), kept, ["document_id", "author_id"])
-    return Load(records, winners, listed, new_documents, new_authors, new_relations)
+    return Load(records, winners, listed, new_keys, new_documents, new_authors, new_relations)

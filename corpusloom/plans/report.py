@@ -7,8 +7,8 @@ import time
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import GRAM_BYTES, duration
-from corpusloom.plans.index import TEXT
+from corpusloom.functions.text import duration
+from corpusloom.sources.tables import Tables
 
 _SUMMED = [
     "files_processed",
@@ -59,29 +59,27 @@ def ingest_progress(loads: DataFrame) -> DataFrame:
     )
 
 
-def index_report(documents: DataFrame, postings: DataFrame, seconds: float = 0.0) -> DataFrame:
+def index_report(indexed: DataFrame) -> DataFrame:
     """Documents at hand (also those without grams), the grams that their texts
-    generate, the grams inserted as the index counts them, and the aggregated
-    rows they are stored in."""
-    windows = sum(
-        F.greatest(F.octet_length(F.coalesce(c, F.lit(""))) - (GRAM_BYTES - 1), F.lit(0)).cast("long")
-        for c in TEXT
-    )
-    docs = documents.agg(
-        F.count(F.lit(1)).alias("docs_indexed"),
-        F.coalesce(F.sum(windows), F.lit(0)).alias("grams_generated"),
-    )
-    grams = postings.agg(
-        F.coalesce(F.sum("tf"), F.lit(0)).alias("grams_inserted"),
-        F.count(F.lit(1)).alias("postings"),
+    generate, the grams inserted as the index counts them, the aggregated rows they
+    are stored in, and the time it took; from the stored rows of each load.
+
+    A load that was indexed again has several rows and counts once; its documents
+    count once as well where a further load repeats all of them.
+    """
+    own = ~F.startswith("load_id", F.lit(Tables.AGAIN))
+    counted = ["docs_indexed", "grams_generated", "grams_inserted", "postings"]
+    loads = indexed.groupBy("load_id").agg(*[F.max(c).alias(c) for c in counted])
+    none = F.lit(0).cast("long")
+    sums = loads.agg(
+        *[F.coalesce(F.sum(F.when(own, F.col(c))), none).alias(c) for c in counted[:2]],
+        *[F.coalesce(F.sum(c), none).alias(c) for c in counted[2:]],
     )
-    both = docs.unionByName(grams, allowMissingColumns=True)
-    return both.agg(
-        F.max("docs_indexed").alias("docs_indexed"),
-        F.max("grams_generated").alias("grams_generated"),
-        F.max("grams_inserted").alias("grams_inserted"),
-        F.max("postings").alias("postings"),
-    ).withColumn("elapsed", duration(F.lit(float(seconds))))
+    runs = indexed.groupBy("run").agg(F.max("seconds").alias("seconds"))
+    spent = runs.agg(F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"))
+    both = sums.unionByName(spent, allowMissingColumns=True)
+    total = both.agg(*[F.max(c).alias(c) for c in (*counted, "seconds")])
+    return total.select(*counted, duration("seconds").alias("elapsed"))
 
 
 def timed(results: DataFrame) -> tuple[list[Row], float]:

@@ -11,10 +11,12 @@ from corpusloom.fixtures import corpus, records, table
 from corpusloom.functions import text as tx
 from corpusloom.operators.dedup import explode_authors, first_files, first_relations
 from corpusloom.operators.grams import count_grams, explode_grams, vocabulary
+from corpusloom.plans.compact import compact_index
+from corpusloom.plans.full import run_all
 from corpusloom.plans.index import build_index, build_postings, index_load
 from corpusloom.plans.ingest import ingest, load_records
 from corpusloom.plans.report import index_report, ingest_progress, ingest_report
-from corpusloom.plans.search import search, search_batch
+from corpusloom.plans.search import search, search_batch_stored, search_stored
 from corpusloom.plans.view import document_view
 from corpusloom.schemas import RECORDS
 from corpusloom.session import Workspace
@@ -195,13 +197,11 @@ def index_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = indexed(spark, sf_dir)
-    return search(tables.postings(), tables.documents(), SEARCH_TEXT)
+    return search_stored(indexed(spark, sf_dir), SEARCH_TEXT)
 
 
 def search_accented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = indexed(spark, sf_dir)
-    return search(tables.postings(), tables.documents(), ACCENTED_TEXT)
+    return search_stored(indexed(spark, sf_dir), ACCENTED_TEXT)
 
 
 def search_batch_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +209,7 @@ def search_batch_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
-    return search_batch(tables.postings(), tables.documents(), asked)
+    return search_batch_stored(tables, asked)
 
 
 def search_batch_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,7 @@ def search_batch_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query")
     )
-    return search_batch(tables.postings(), tables.documents(), asked)
+    return search_batch_stored(tables, asked)
 
 
 def search_batch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +226,7 @@ def search_batch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
-    return search_batch(tables.postings(), tables.documents(), asked, windows=32)
+    return search_batch_stored(tables, asked, windows=32)
 
 
 def search_batch_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +235,7 @@ def search_batch_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("query_id"), F.col("text").alias("query")
     )
-    found = search_batch(tables.postings(), tables.documents(), asked)
+    found = search_batch_stored(tables, asked)
     return found.select("query_id", "rank", "doc_id", "hits")
 
 
@@ -277,13 +277,33 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a run over nested files, some damaged and some empty."""
+
+    def fill(tables: Tables) -> None:
+        files = article_json(spark, sf_dir)
+        good = files.select("value", (F.col("doc_id") % 3).alias("part"), F.col("doc_id").alias("n"))
+        bad = good.where("n % 4 = 0").withColumn("value", F.concat("value", F.lit("}")))
+        folder = tables.path("files")
+        both = good.unionByName(bad).drop("n")
+        both.write.partitionBy("part").option("maxRecordsPerFile", 1).text(folder)
+        for nation in range(3):
+            spark.range(0).select(F.col("id").cast("string")).write.text(f"{folder}/none={nation}/deep")
+        ingest(tables, folder, run_id="manifest")
+
+    tables = _once(spark, sf_dir, "manifest", fill)
+    return tables.loads().select(
+        "files_seen", "parse_errors", "duplicate_files", "files_processed", "documents_inserted", "last_document_id"
+    )
+
+
 def search_batch_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer asks for its market segment: many copies of few queries."""
     tables = indexed(spark, sf_dir)
     asked = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("query_id"), F.col("c_mktsegment").alias("query")
     )
-    found = search_batch(tables.postings(), tables.documents(), asked)
+    found = search_batch_stored(tables, asked)
     return found.select("query_id", "rank", "doc_id", "hits")
 
 
@@ -296,7 +316,7 @@ def search_short_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("query_id"), query.alias("query")
     )
-    return search_batch(tables.postings(), tables.documents(), asked)
+    return search_batch_stored(tables, asked)
 
 
 def search_existing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,6 +327,35 @@ def search_existing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(postings, at_hand, SEARCH_TEXT, check_documents=True)
 
 
+def index_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index rows per document after six loads, merges of them, and one load again."""
+
+    def fill(tables: Tables) -> None:
+        every = records(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("doi"), F.lit(6)))
+        every = Workspace(spark).save(every, "records")
+        for part in range(6):
+            name = f"part-{part:02d}"
+            load_records(tables, every.where(F.col("part") == part).select(*RECORDS.names), name, name)
+            index_load(tables, name)
+        compact_index(tables, fan=3)
+        index_load(tables, "part-03")
+
+    tables = _once(spark, sf_dir, "compacted", fill)
+    dois = tables.documents().select(F.col("id").alias("doc_id"), "doi")
+    grams = tables.postings().groupBy("doc_id").agg(F.sum("tf").alias("index_rows"))
+    return grams.join(dois, "doc_id").select("doi", "index_rows")
+
+
+def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in, index, and the answers to a batch of queries, in one call."""
+    folder = f"{Workspace(spark).root}-files"
+    article_json(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    asked = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query")
+    )
+    return run_all(Tables(spark, f"{Workspace(spark).root}-full"), folder, asked)
+
+
 # --- records
 
 
@@ -345,6 +394,23 @@ def records_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected(parse_records(raw))
 
 
+def records_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file with a key repeated in one of four ways, of which the first counts;
+    every fifth is no JSON for all that."""
+    good = F.col("value")
+    late = F.substr(good, F.lit(1), F.length(good) - 1)
+    again = [
+        F.concat(late, F.lit(',"metadata":{"doi":"late","title":"late"}}')),
+        F.replace(good, F.lit('"issn":'), F.lit('"doi":"late","title":7,"issn":')),
+        F.replace(good, F.lit('"metadata":{'), F.lit('"abstract":["late"],"metadata":{')),
+        F.concat(F.lit("\n "), late, F.lit(',"x":{"y":1,"y":{"metadata":2}}} ')),
+        F.concat(late, F.lit(',"abstract":"late",}')),
+    ]
+    value = F.element_at(F.array(*again), (F.col("doc_id") % len(again) + 1).cast("int"))
+    raw = article_json(spark, sf_dir).select("file_path", value.alias("value"))
+    return parse_records(raw).select("reason", *_parsed_columns())
+
+
 def author_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the suppliers of a part as authors, 32 at most when so limited."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -455,8 +521,7 @@ def report_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = indexed(spark, sf_dir)
-    return index_report(tables.documents(), tables.postings()).drop("elapsed")
+    return index_report(indexed(spark, sf_dir).indexed()).drop("elapsed")
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,6 +547,30 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authors of documents by name, streamed in two runs of one checkpoint.
+
+    Of copies of a text, the first file by path is streamed: which one comes first is
+    otherwise up to the file times.
+    """
+
+    def fill(tables: Tables) -> None:
+        every = article_json(spark, sf_dir)
+        first = first_files(article_records(spark, sf_dir)).select("file_path")
+        files = Workspace(spark).save(every.join(first, "file_path", "left_semi"), "first-files")
+        for part in range(2):
+            folder = tables.path("files")
+            own = files.where(F.col("doc_id") % 2 == part).select("value")
+            own.write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+            ingest_stream(tables, folder, tables.path("checkpoint"), files_per_batch=400, index=False)
+
+    tables = _once(spark, sf_dir, "streamed-twice", fill)
+    documents = tables.documents().select(F.col("id").alias("document_id"), "doi")
+    names = tables.authors().select(F.col("id").alias("author_id"), "first_name", "last_name", "initial")
+    links = tables.relations().join(documents, "document_id").join(names, "author_id")
+    return links.select("doi", "author_order", "first_name", "last_name", "initial")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ascii_lower": ascii_lower,
     "query_grams": query_grams,
@@ -523,4 +612,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_titles": first_titles,
     "stream_ingest": stream_ingest,
     "ingest_files": ingest_files,
+    "ingest_manifest": ingest_manifest,
+    "records_repeated_keys": records_repeated_keys,
+    "stream_relations": stream_relations,
+    "index_compacted": index_compacted,
+    "full_pipeline": full_pipeline,
 }

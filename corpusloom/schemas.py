@@ -40,6 +40,16 @@ DOCUMENTS = T.StructType(
     + _BLOCK
 )
 
+RESULTS = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("preview", T.StringType()),
+    ]
+    + _LOAD
+    + _BLOCK
+)
+
 AUTHORS = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -61,6 +71,27 @@ RELATIONS = T.StructType(
     + _BLOCK
 )
 
+# Key tables: which id a key has, in folders by a hash of the key.
+_KEY_PART = [T.StructField("key_part", T.IntegerType())]
+
+DOCUMENT_KEYS = T.StructType(
+    [T.StructField("doi", T.StringType()), T.StructField("id", T.LongType())] + _LOAD + _KEY_PART
+)
+
+AUTHOR_KEYS = T.StructType(
+    [
+        T.StructField("first_name", T.StringType()),
+        T.StructField("last_name", T.StringType()),
+        T.StructField("initial", T.StringType()),
+        T.StructField("id", T.LongType()),
+    ]
+    + _LOAD
+    + _KEY_PART
+)
+
+# Loads that were begun; one that has no row in the loads is not to be seen.
+BEGUN = T.StructType(_LOAD)
+
 POSTINGS = T.StructType(
     [
         T.StructField("gram", T.BinaryType()),
@@ -68,7 +99,48 @@ POSTINGS = T.StructType(
         T.StructField("tf", T.LongType()),
     ]
     + _LOAD
-    + [T.StructField("gram_bucket", T.IntegerType())]
+    + [T.StructField("tier", T.IntegerType())]
+)
+
+# Per gram, load and tier of document sizes: the largest count in one document,
+# the documents, and all occurrences.
+BOUNDS = T.StructType(
+    [
+        T.StructField("gram", T.BinaryType()),
+        T.StructField("most", T.LongType()),
+        T.StructField("docs", T.LongType()),
+        T.StructField("occurrences", T.LongType()),
+    ]
+    + _LOAD
+    + [T.StructField("tier", T.IntegerType())]
+)
+
+# One row per load that an index holds, written when it holds it whole. `seconds`
+# is the time of the whole `run` of indexing; `replaces` names the loads that a
+# merged one holds instead of them.
+INDEXED = T.StructType(
+    [
+        T.StructField("load_id", T.StringType()),
+        T.StructField("docs_indexed", T.LongType()),
+        T.StructField("grams_generated", T.LongType()),
+        T.StructField("grams_inserted", T.LongType()),
+        T.StructField("postings", T.LongType()),
+        T.StructField("seconds", T.DoubleType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("replaces", T.ArrayType(T.StringType())),
+    ]
+)
+
+# One row per batch of searches.
+SEARCHES = T.StructType(
+    [
+        T.StructField("queries", T.LongType()),
+        T.StructField("sets", T.LongType()),
+        T.StructField("postings_read", T.LongType()),
+        T.StructField("postings_skipped", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
 )
 
 # DOIs already claimed by earlier micro-batches of an unfinished run.
@@ -80,15 +152,18 @@ CLAIMED_DOIS = T.StructType(
     ]
 )
 
-# Numbers of finished indexes; the highest is in use.
-GENERATIONS = T.StructType([T.StructField("generation", T.LongType())])
+# Numbers of finished indexes and their buckets; the highest number is in use.
+GENERATIONS = T.StructType(
+    [T.StructField("generation", T.LongType()), T.StructField("buckets", T.IntegerType())]
+)
 
 # Runs of streams that have ended.
 ENDED_RUNS = T.StructType(
     [T.StructField("stream", T.StringType()), T.StructField("number", T.LongType())]
 )
 
-# One row per load (a batch ingest, or one micro-batch of a stream).
+# One row per load (a batch ingest, or one micro-batch of a stream), written last:
+# it makes the load visible. The last ids are those of the corpus at its end.
 LOADS = T.StructType(
     [
         T.StructField("batch", T.LongType()),
@@ -100,6 +175,8 @@ LOADS = T.StructType(
         T.StructField("documents_inserted", T.LongType()),
         T.StructField("authors_inserted", T.LongType()),
         T.StructField("relations_inserted", T.LongType()),
+        T.StructField("last_document_id", T.LongType()),
+        T.StructField("last_author_id", T.LongType()),
         T.StructField("seconds", T.DoubleType()),
         T.StructField("run_id", T.StringType()),
     ]

@@ -1,12 +1,15 @@
+import re
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators.keys import dense_ids
+from corpusloom.operators.keys import KEY_PARTS, dense_ids, key_part
 from corpusloom.plans.ingest import ingest
 from corpusloom.plans.report import ingest_report
+from corpusloom.schemas import DOCUMENT_KEYS, DOCUMENTS
 from corpusloom.session import Workspace, shared_folder
+from corpusloom.sources.tables import Tables
 
 
 def stored(tables):
@@ -81,6 +84,63 @@ def test_reports(tables, folder, article):
     assert counts == {"documents": 2, "authors": 2, "documents_x_authors": 2, "ngrams": 0}
 
 
+def test_files_that_give_no_record_are_counted(tables, folder, article, tmp_path):
+    root = folder({"1": article("d", authors=[A]), "deep/2": article("e"), "deep/empty": "", "bad": "{"})
+    (tmp_path / "in" / "torn.gz").write_bytes(b"\x1f\x8b no gzip at all")
+    report = ingest(tables, root).first()
+    assert (report.files_seen, report.parse_errors, report.files_processed) == (5, 3, 2)
+    assert set(stored(tables)) == {"d", "e"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_loads_read_few_key_folders(spark, tables, folder, article):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    ingest(tables, folder({str(i): article(f"d{i}", authors=[("F", f"a{i}", "")]) for i in range(300)}, "many"))
+    batch = spark.createDataFrame([(f"d{i}",) for i in range(10)], "doi string")
+    known = tables.known_ids("document_keys", DOCUMENT_KEYS, batch)
+    assert known.count() == 10
+    parts = batch.select(key_part(["doi"])).distinct().count()
+    read = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(known))[1]
+    assert parts <= 10 < KEY_PARTS / 10 and re.search(r"key_part#\d+ IN(SET)? ", read)
+    assert len(re.findall(r"\d+", re.search(r"key_part#\d+ IN(?:SET)? ([\d, ()]+)", read)[1])) == parts
+    ids = {r.doi: r.id for r in tables.documents().collect()}
+    assert {r.doi: r.id for r in known.collect()} == {d: ids[d] for d in (f"d{i}" for i in range(10))}
+    assert tables.last_ids() == (300, 300)
+
+
+@pytest.mark.parametrize("step", ["append_entities", "append_keys", "write_results", "write_load"])
+def test_load_that_is_cut_off_is_not_seen_and_taken_back(tables, folder, article, monkeypatch, step):
+    ingest(tables, folder({"1": article("d", "one", "text", authors=[A])}, "x"), run_id="first")
+    before = stored(tables)
+    root = folder({"2": article("e", "two", "text", authors=[B]), "3": article("d", "no", authors=[C])}, "y")
+    real = getattr(Tables, step)
+    calls = []
+
+    def cut_off(self, *args):
+        real(self, *args) if step != "write_load" else None
+        calls.append(args)
+        if step != "append_entities" or len(calls) == 2:
+            raise RuntimeError("cut off")
+
+    with monkeypatch.context() as m:
+        m.setattr(Tables, step, cut_off)
+        with pytest.raises(RuntimeError, match="cut off"):
+            ingest(tables, root, run_id="second")
+    assert stored(tables) == before and tables.results().count() == 1 and tables.authors().count() == 1
+    ingest(tables, root, run_id="third")
+    assert stored(tables) == {"d": ("one", [(0, "Ann", "A"), (0, "Cy", "C")]), "e": ("two", [(0, "Bob", "B")])}
+    assert sorted(r.id for r in tables.documents().collect()) == [1, 2]
+    assert tables.read("documents", DOCUMENTS).where("load_id = 'second'").count() == 0
+
+
+def test_names_of_runs_are_plain(tables, folder, article):
+    with pytest.raises(ValueError, match="named by"):
+        ingest(tables, folder({"1": article("d")}), run_id="a/b")
+
+
 def test_hot_doi_and_hot_author(spark, tables):
     """A third of the files share a DOI; every record names the same author."""
     from corpusloom.plans.ingest import load_records

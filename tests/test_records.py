@@ -92,6 +92,43 @@ def test_author_limit(spark):
     assert [a.last for a in parse_records(raw, author_limit=2).first().authors] == ["a", "b"]
 
 
+def test_first_of_repeated_keys_counts(parse):
+    rows = {
+        "doi": '{"metadata":{"doi":"a","doi":"b","title":"T"}}',
+        "all": '{"abstract":"one","abstract":"two","metadata":{"doi":"d","title":"x","title":5,"issn":"i",'
+        '"issn":null,"pub_year":1999,"pub_year":"2000","authors":[{"last":"A","last":"B"}],"authors":[]}}',
+        "metadata": ' {"metadata":{"doi":"first"},"metadata":{"doi":"second"}}\n',
+        "elsewhere": '{"x":{"y":1,"y":2},"metadata":{"doi":"d","title":"say \\"hi\\" \\u00e9/","pub_year":7}}',
+        "types": '{"a":1,"a":2,"metadata":{"doi":"d","title":5,"issn":["i"],"pub_year":3.5,"authors":{"last":"A"}}}',
+        "authors": '{"a":1,"a":2,"metadata":{"doi":"d","authors":[{"first":"F","last":7,"initial":"I","last":"L"},null,"x",["q"]]}}',
+        "number first": '{"metadata":{"doi":5,"doi":"d"}}',
+        "no metadata": '{"a":1,"a":2}',
+        "text metadata": '{"a":1,"a":2,"metadata":"{\\"doi\\":\\"d\\"}"}',
+    }
+    bad = {
+        "trailing": '{"a":1,"a":2,"metadata":{"doi":"d"}} x',
+        "comma": '{"a":1,"a":2,"metadata":{"doi":"d"},}',
+        "quotes": "{\"a\":1,\"a\":2,'metadata':{\"doi\":\"d\"}}",
+        "not a number": '{"a":1,"a":NaN,"metadata":{"doi":"d"}}',
+        "zeros": '{"a":1,"a":007,"metadata":{"doi":"d"}}',
+        "two values": '{"a":1,"a":2,"metadata":{"doi":"d"}},{"a":1}',
+        "tab": '{"a":1,"a":"\t","metadata":{"doi":"d"}}',
+    }
+    found = {r.file_path: r for r in parse({**rows, **bad}).collect()}
+    assert {n: found[n].reason for n in bad} == dict.fromkeys(bad, "bad_json")
+    reasons = {"number first": "no_doi", "no metadata": "no_metadata", "text metadata": "no_doi"}
+    assert {n: found[n].reason for n in rows} == {n: reasons.get(n) for n in rows}
+    assert [found[n].doi for n in ("doi", "all", "metadata")] == ["a", "d", "first"]
+    r = found["all"]
+    assert (r.abstract, r.title, r.issn, r.pub_year) == ("one", "x", "i", 1999)
+    assert [tuple(a) for a in r.authors] == [("", "A", "")]
+    assert (found["elsewhere"].title, found["elsewhere"].pub_year) == ('say "hi" é/', 7)
+    r = found["types"]
+    assert (r.title, r.issn, r.pub_year, r.authors) == (None, None, 0, [])
+    # A number is no string, also where a string of the same key comes later.
+    assert [tuple(a) for a in found["authors"].authors] == [("F", "", "I"), ("", "", ""), ("", "", ""), ("", "", "")]
+
+
 def test_filters_do_not_copy_the_parse(parse):
     plan = accepted(parse({"a": "{}"}))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1

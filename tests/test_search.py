@@ -3,12 +3,13 @@ from collections import Counter
 
 import pytest
 
+from corpusloom.plans import index as index_plans
 from corpusloom.plans import search as plans
 from corpusloom.plans.full import run_all
 from corpusloom.plans.index import build_index, index_load
 from corpusloom.plans.ingest import ingest
 from corpusloom.plans.report import index_report, timed
-from corpusloom.plans.search import literal_grams, search, search_batch
+from corpusloom.plans.search import literal_grams, search, search_batch, search_batch_stored, search_stored
 from corpusloom.plans.view import document_view
 from corpusloom.sources.tables import Tables
 
@@ -116,17 +117,128 @@ def test_only_documents_at_hand_are_ranked(spark, corpus):
     assert by_query(batch) == {0: everything}
 
 
-def test_scans_are_pruned(spark, corpus):
-    def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
+def plan(df):
+    """The final plan of a frame that was run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
 
-    single = plan(search(corpus.postings(), corpus.documents(), "cancer"))
-    assert "PartitionFilters: [gram_bucket" in single.replace("PartitionFilters: [isnotnull", "")
-    assert "PushedFilters: [In(gram" in single
+def test_scans_are_pruned(spark, corpus):
+    single = search(corpus.postings(), corpus.documents(), "cancer", bounds=None)
+    assert "PushedFilters: [Or(Or(" in plan(single) and "EqualTo(gram" in plan(single)
     view = plan(document_view(corpus.documents(), corpus.relations(), corpus.authors(), [1, 2]))
     assert "In(id, [1,2])" in view and "id_block" in view
 
 
+def test_results_read_no_texts(corpus):
+    found = plan(search_stored(corpus, "cancer"))
+    assert "results" in found and "preview" in found and "abstract" not in found
+
+
+def test_hits_are_counted_where_postings_are_read(spark, corpus):
+    """No exchange lies between the scan of the postings and the cut to k rows per task."""
+    index = corpus.index()
+    terms = spark.createDataFrame([(0, 10, bytearray(b"can")), (1, 10, bytearray(b"dia"))], "set_no long, tier int, gram binary")
+    batch = plan(plans._top_of(index.postings, corpus.documents(), terms, 2, False))
+    hits = index.postings.where("gram = X'63616E'").groupBy("doc_id").agg({"tf": "sum"})
+    for text in (batch.split("== Initial Plan ==")[0], plan(hits).split("== Initial Plan ==")[0]):
+        lines = text.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan parquet" in line and "Bucketed: true" in line)
+        indent = len(lines[scan]) - len(lines[scan].lstrip(" :+-*(0123456789)"))
+        above = []
+        for line in reversed(lines[:scan]):
+            depth = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+            if depth < indent:
+                above.append(line)
+                indent = depth
+        names = [x.lstrip(" :+-*(0123456789)").split(" ")[0].split("(")[0] for x in above]
+        first = names.index("Exchange") if "Exchange" in names else len(names)
+        assert names[:first].count("HashAggregate") == 2, names
+        if text.startswith("Adaptive") and "Window" in text and "set_no" in text:
+            assert "WindowGroupLimit" in names[:first], names
+
+
+LONG = {
+    f"long{i}": ("", " ".join(f"{w} cancer diagnosis" for w in ("alpha", "beta", "gamma")[: 1 + i % 3]) * (60 + i))
+    for i in range(12)
+}
+
+
+@pytest.fixture(scope="module")
+def tiered(spark, tmp_path_factory):
+    """Long and short documents, in two loads that are indexed one by one."""
+    root = tmp_path_factory.mktemp("tiered")
+    tables = Tables(spark, str(root / "db"))
+    short = {f"s{i}": (f"note {i} cancer", "diagnosis zebra" if i % 9 == 0 else "plain") for i in range(80)}
+    for name, texts in (("one", {**LONG, **dict(list(short.items())[:40])}), ("two", dict(list(short.items())[40:]))):
+        (root / name).mkdir()
+        for doi, (title, abstract) in texts.items():
+            record = {"abstract": abstract, "metadata": {"doi": doi, "title": title, "authors": []}}
+            (root / name / doi).write_text(json.dumps(record))
+        ingest(tables, str(root / name), run_id=name)
+        index_load(tables, name, partitions=3)
+    return tables
+
+
+ASKED = ["cancer", "zebra", "alpha cancer", "note 7", "cancer diagnosis", "gamma", "zz", "the zebra in plain text"]
+
+
+@pytest.mark.parametrize("k", [3, 200])
+def test_bounds_leave_results_as_they_are(spark, tiered, k):
+    documents = tiered.documents().collect()
+    got = by_query(search_batch_stored(tiered, asked(spark, ASKED), k=k))
+    expected = {i: brute(documents, q, k) for i, q in enumerate(ASKED)}
+    assert got == {i: rows for i, rows in expected.items() if rows}
+    for q in ASKED[:4]:
+        assert found(search_stored(tiered, q, k=k)) == brute(documents, q, k)
+
+
+def test_postings_that_cannot_rank_are_left_out(spark, tiered):
+    search_batch_stored(tiered, asked(spark, ["cancer diagnosis", "alpha cancer"]), k=3).collect()
+    row = tiered.searches().orderBy("seconds").collect()[-1]
+    last = [r for r in tiered.searches().collect() if (r.queries, r.rows) == (2, 6)]
+    assert last and all(r.postings_skipped > 0 and r.postings_read > 0 and r.seconds > 0 for r in last), row
+
+
+def test_bounds_hold_after_appending(spark, tiered):
+    before = by_query(search_batch_stored(tiered, asked(spark, ASKED), k=3))
+    build_index(tiered, mode="append")
+    after = by_query(search_batch_stored(tiered, asked(spark, ASKED), k=3))
+    assert after == {i: [(r, d, 2 * n) for r, d, n in rows] for i, rows in before.items()}
+    build_index(tiered)
+    assert by_query(search_batch_stored(tiered, asked(spark, ASKED), k=3)) == before
+
+
+def test_documents_at_hand_with_bounds(spark, tiered):
+    some = tiered.documents().where("doi NOT LIKE 'long%'")
+    index = tiered.index()
+    got = search_batch(
+        index.postings, some, asked(spark, ASKED), k=3, check_documents=True, bounds=index.bounds, buckets=index.buckets
+    )
+    expected = {i: brute(some.collect(), q, 3) for i, q in enumerate(ASKED)}
+    assert by_query(got) == {i: rows for i, rows in expected.items() if rows}
+
+
+def test_load_that_is_cut_off_while_indexed_is_not_seen(tables, folder, article, monkeypatch):
+    ingest(tables, folder({"1": article("a", "first text", "more")}, "x"), run_id="one")
+    index_load(tables, "one")
+    before = sorted(map(str, tables.postings().collect()))
+    ingest(tables, folder({"2": article("b", "first text again", "")}, "y"), run_id="two")
+
+    def fail(*_):
+        raise RuntimeError("cut off")
+
+    for step in ("_write_bounds", "_write_indexed"):
+        with monkeypatch.context() as m:
+            m.setattr(Tables, step, fail)
+            with pytest.raises(RuntimeError):
+                index_load(tables, "two")
+        assert sorted(map(str, tables.postings().collect())) == before
+        assert len(found(search_stored(tables, "first"))) == 1
+    index_load(tables, "two")
+    assert len(found(search_stored(tables, "first"))) == 2
+
+
 def test_indexing_a_load_again_changes_nothing(tables, folder, article):
     ingest(tables, folder({"1": article("a", "first text", "more")}, "x"), run_id="one")
     index_load(tables, "one")
@@ -152,8 +264,7 @@ def test_replayed_load_and_cut_off_build(tables, folder, article, monkeypatch):
         raise RuntimeError("cut off")
 
     with monkeypatch.context() as m:
-        m.setattr(Tables, "generation", lambda self: 1)
-        m.setattr(type(tables.spark), "range", fail)
+        m.setattr(Tables, "_write_generation", fail)
         with pytest.raises(RuntimeError):
             build_index(tables)
     assert sorted(map(str, tables.postings().drop("load_id").collect())) == before
@@ -162,11 +273,35 @@ def test_replayed_load_and_cut_off_build(tables, folder, article, monkeypatch):
     assert sorted(map(str, tables.postings().drop("load_id").collect())) == before
 
 
+def test_compaction_bounds_the_folders(spark, tables, article):
+    """Fifty loads; merged postings count once, also when a load is indexed again."""
+    from corpusloom.plans.compact import compact_index
+    from corpusloom.schemas import POSTINGS
+
+    loads = [f"load-{i:02d}" for i in range(50)]
+    rows = [(i + 1, f"d{i}", f"title {i}", "some common text " * (1 + i % 3), loads[i]) for i in range(50)]
+    documents = spark.createDataFrame(rows, "id long, doi string, title string, abstract string, load_id string")
+    counted = [(x, 1, 10) for x in loads]
+    counted = spark.createDataFrame(counted, "load_id string, docs_indexed long, grams_generated long")
+    tables.index_all(index_plans._placed(documents, 2), counted, 2, 0.0)
+    before = sorted(map(str, tables.postings().drop("load_id").collect()))
+    assert compact_index(tables, fan=8) == 1
+    assert sorted(map(str, tables.postings().drop("load_id").collect())) == before
+    folders = tables.read("postings/000001", POSTINGS).select("load_id").distinct().count()
+    assert folders <= 8 + 2 and tables.indexed().count() == folders
+    index_load(tables, "load-07")
+    assert sorted(map(str, tables.postings().drop("load_id").collect())) == before
+    report = index_report(tables.indexed()).first()
+    assert (report.docs_indexed, report.grams_generated, report.postings) == (50, 500, len(before))
+    assert compact_index(tables, fan=8) == 0
+
+
 def test_index_report(corpus):
-    r = index_report(corpus.documents(), corpus.postings(), 61.0).first()
+    r = index_report(corpus.indexed()).first()
     grams = sum(max(len(f.encode()) - 2, 0) for t in TEXTS.values() for f in t)
     assert (r.docs_indexed, r.grams_generated, r.grams_inserted) == (7, grams, grams)
-    assert r.postings == corpus.postings().count() and r.elapsed == "00h 01m 01s"
+    assert r.postings == corpus.postings().count() and len(r.elapsed) == len("00h 01m 01s")
+    assert corpus.indexed().first().seconds > 0
 
 
 def test_document_view(spark, tables, folder, article):
