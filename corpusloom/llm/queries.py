@@ -77,7 +77,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_arc(pages, "page_id", "url", "html", f"{folder}/arc")
     warc.convert(spark, f"{folder}/arc", f"{folder}/warc")
-    return warc.read_warc(spark, f"{folder}/warc").select(
+    return warc.read_warc(spark, f"{folder}/warc").where("record_type IN ('response', 'revisit')").select(
         F.col("key").cast("long").alias("page_id"),
         "payload_bytes",
         "payload_digest",
