@@ -246,10 +246,16 @@ def training_rows(
     documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, limit: int = TRAINING_TEXTS
 ) -> tuple[list, float]:
     """At most `limit` labelled texts whose id is not held out, toxic ones up to half of
-    them, and how many times as many labels a toxic one of them stands for as another."""
+    them, and how many times as many labels a toxic one of them stands for as another.
+    Labels of documents that are not there, or are longer than training takes, leave
+    their place to others."""
+    texts = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where(
+        F.length("text") <= TRAINING_CHARS
+    )
+    marked = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
     every = (
-        labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
+        marked.where(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
+        .join(texts, F.col("id") == F.col("doc"), "left_semi")
         .groupBy("id")
         .agg(F.max("label").alias("label"))
     )
@@ -261,9 +267,6 @@ def training_rows(
         every.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(taken[y]) for y in (1, 0)
     )
     known = ones.union(zeros)
-    texts = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where(
-        F.length("text") <= TRAINING_CHARS
-    )
     # A repeated id is read once; the sample is small enough to be sent to all tasks.
     rows = texts.join(F.broadcast(known), F.col("doc") == F.col("id")).groupBy("id").agg(
         F.max("label").alias("label"), F.min("text").alias("text")

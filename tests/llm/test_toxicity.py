@@ -100,3 +100,11 @@ def test_sample_is_filled_by_class(spark):
     assert np.isclose(odds, (100 - len(toxic)) / (len(open_) - len(toxic)))
     few = toxicity.training_rows(documents, labels, "doc_id", "text", "toxic", limit=20)[0]
     assert sum(r.label for r in few) == 10 and len(few) == 20
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark):
+    rows = [(i, f"text {i}") for i in range(200)] + [(999, "long " * 20_000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40_000)], "doc_id long, toxic int")
+    sample, _ = toxicity.training_rows(documents, labels, "doc_id", "text", "toxic", limit=400)
+    assert len(sample) == documents.where(~toxicity.held_out(documents.doc_id)).where("doc_id < 200").count()
