@@ -17,9 +17,12 @@ texts at once:
 * Items of the blocks left are bounded once more by their own weights, and then
   scored exactly from their own terms.
 
-An item, its question (all but the last sentence) and its answer (the last
-sentence) are indexed each, in parts of at most `PART_WORDS` words. An item with a
-retrieved part is verified on runs of `gram` words that the whole document holds
+An item's question (all but the last sentence) and its answer (the last sentence)
+are indexed each, in parts of at most `PART_WORDS` words; together they are the
+item, which is indexed as a whole only where it is one sentence, or where the
+answer is too short to be asked for and the question has under `SHORT` words. How
+often a term occurs and how long parts are is counted over all items. An item with
+a retrieved part is verified on runs of `gram` words that the whole document holds
 too, whatever the item's length: it is found if `least_overlap` of the question's
 runs, of the answer's or of the whole item's are there. A question or answer of fewer
 than `gram` words (than the item, if that is shorter) has no runs and overlap 0.
@@ -50,14 +53,17 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpusloom.llm.textbytes import Prefixes, shingles, text_slices
+from corpusloom.session import Workspace
 
 PART_WORDS = 64
 SLICE_CHARS = 4_000_000
 BLOCK_ITEMS = 16
 #: Ceilings for which it is kept what a part's terms below them add up to.
 LEVELS = 64
-#: Cells of the largest array of sums over passages and parts.
-SUMS = 2_000_000
+#: Cells of the largest array of sums over passages and parts, and the postings that
+#: are opened for them at a time.
+SUMS = 1_000_000
+SHORT = 20
 K1, B = 1.2, 0.75
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -92,6 +98,22 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (text[: ends[-1]], text[ends[-1] :]) if ends else (text, text)
 
 
+def _sides(text: str, gram: int) -> tuple[int, list[np.ndarray]]:
+    """Words of a run, and the words of the item, its question and its answer."""
+    every = _words(text)
+    return min(gram, len(every)), [every, *map(_words, question_and_answer(text))]
+
+
+def _parts(size: int, sides: list[np.ndarray]) -> list[np.ndarray]:
+    """The parts that an item is searched by."""
+    whole, question, answer = sides
+    # A side without runs decides nothing.
+    used = [x for x in (question, answer) if size <= len(x) < len(whole)]
+    if not used or (len(used) == 1 and len(used[0]) < SHORT):
+        used.append(whole)
+    return [cut for x in used if len(x) for cut in np.array_split(x, -(-len(x) // PART_WORDS))]
+
+
 @dataclass
 class Index:
     """Postings of the parts of a slice of items, with weights as shares of a part's own score."""
@@ -101,29 +123,29 @@ class Index:
     part_of: np.ndarray = field(init=False)  # item of each part
     runs: list = field(init=False)  # runs of words of each item: all, question, answer
 
-    def build(self, texts: list[str]) -> Index:
+    def build(self, texts: list[str], statistics=None) -> Index:
+        """`statistics` gives, for hashes of terms, the parts of all items that hold each,
+        the number of parts and their mean length; without it these items are all."""
         self.runs, self.sizes, owner, words = [], [], [], []
         for item, text in enumerate(texts):
-            every = _words(text)
-            size = min(self.gram, len(every))
-            sides = [every, *map(_words, question_and_answer(text))]
+            size, sides = _sides(text, self.gram)
             self.sizes.append(size)
             self.runs.append([np.unique(_grams(x, size)) if len(x) and len(x) >= size else x[:0] for x in sides])
-            for k, own in enumerate(sides):
-                # A side without runs decides nothing; one that is all of the item is indexed already.
-                if len(own) and len(own) >= size and (k == 0 or len(own) < len(every)):
-                    cuts = np.array_split(own, -(-len(own) // PART_WORDS))
-                    owner += [item] * len(cuts)
-                    words += cuts
+            cuts = _parts(size, sides)
+            owner += [item] * len(cuts)
+            words += cuts
         self.part_of = np.array(owner, dtype=np.int64)
         self.terms, inverse = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]), return_inverse=True)
         part = np.repeat(np.arange(len(words)), [len(w) for w in words])
         pair, tf = np.unique(inverse.astype(np.int64) * max(1, len(words)) + part, return_counts=True)
         term, part = pair // max(1, len(words)), pair % max(1, len(words))
         length = np.array([len(w) for w in words], dtype=float)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log1p((len(words) - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[part] / max(1.0, length.mean() if len(length) else 1)))
+        if statistics is None:
+            df, parts, mean = np.bincount(term, minlength=len(self.terms)), len(words), length.mean() if len(length) else 1
+        else:
+            df, parts, mean = statistics(self.terms)
+        idf = np.log1p((parts - df + 0.5) / (df + 0.5))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[part] / max(1.0, mean)))
         own = np.bincount(part, weights=weight, minlength=len(words))
         self.weight = weight / own[part]
         self.post_part = part
@@ -148,19 +170,56 @@ class Index:
         padded = np.zeros((LEVELS, blocks * BLOCK_ITEMS))
         padded[:, : len(words)] = self.low
         self.block_low = padded.reshape(LEVELS, blocks, BLOCK_ITEMS).max(axis=2)
-        # A first look at 16 bits of a hash spares most words the binary search.
-        self.seen = np.zeros(1 << 16, dtype=bool)
-        self.seen[self.terms >> np.uint64(48)] = True
+        self.seen = _seen(self.terms)
+        # Runs of each length, with the sides of the items (three each) that have them.
+        self.lengths = np.array([[len(own) for own in sides] for sides in self.runs]).ravel()
+        self.held = {}
+        for size in set(self.sizes) - {0}:
+            own = [(3 * i + k, x) for i, n in enumerate(self.sizes) if n == size for k, x in enumerate(self.runs[i])]
+            runs = np.concatenate([x for _, x in own])
+            sides = np.repeat([i for i, _ in own], [len(x) for _, x in own])
+            order = np.argsort(runs, kind="stable")
+            runs, starts = np.unique(runs[order], return_index=True)
+            self.held[size] = (runs, np.append(starts, len(order)), sides[order], _seen(runs))
         return self
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The term's number of each hash, or -1."""
-        out = np.full(len(hashes), -1, dtype=np.int64)
-        maybe = np.flatnonzero(self.seen[hashes >> np.uint64(48)])
-        at = np.minimum(np.searchsorted(self.terms, hashes[maybe]), len(self.terms) - 1)
-        known = self.terms[at] == hashes[maybe]
-        out[maybe[known]] = at[known]
-        return out
+        return _places(self.terms, self.seen, hashes)
+
+    def shares(self, hashes: np.ndarray, splits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text * sides + side, share) for every side of an item of which a text holds a run."""
+        keys, shares = [np.zeros(0, np.int64)], [np.zeros(0)]
+        sides_in_all = len(self.lengths)
+        for size, (runs, starts, sides, seen) in self.held.items():
+            own, own_splits = shingles(hashes, splits, size)
+            place = _places(runs, seen, own)
+            at = np.flatnonzero(place >= 0)
+            text = np.searchsorted(own_splits, at, side="right") - 1
+            # A run that a text repeats counts once.
+            text, place = np.divmod(np.unique(text * len(runs) + place[at]), max(1, len(runs)))
+            owner, where = _spread(starts[place], starts[place + 1] - starts[place])
+            key, count = np.unique(text[owner] * sides_in_all + sides[where], return_counts=True)
+            keys.append(key)
+            shares.append(count / self.lengths[key % sides_in_all])
+        return np.concatenate(keys), np.concatenate(shares)
+
+
+def _seen(sorted_hashes: np.ndarray) -> np.ndarray:
+    """A first look at 16 bits of a hash, which spares most words the binary search."""
+    seen = np.zeros(1 << 16, dtype=bool)
+    seen[sorted_hashes >> np.uint64(48)] = True
+    return seen
+
+
+def _places(sorted_hashes: np.ndarray, seen: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each hash stands among `sorted_hashes`, or -1."""
+    out = np.full(len(hashes), -1, dtype=np.int64)
+    maybe = np.flatnonzero(seen[hashes >> np.uint64(48)])
+    at = np.minimum(np.searchsorted(sorted_hashes, hashes[maybe]), len(sorted_hashes) - 1)
+    known = sorted_hashes[at] == hashes[maybe]
+    out[maybe[known]] = at[known]
+    return out
 
 
 def _spread(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,10 +274,11 @@ def retrieve(index: Index, hashes: np.ndarray, splits: np.ndarray, least: float)
     width = parts // BLOCK_ITEMS + 1
     near: list[np.ndarray] = []
     run = max(1, SUMS // (width * BLOCK_ITEMS))
-    cuts = np.searchsorted(window, np.arange(0, first[-1] + run, run))
-    for low, a, b in zip(range(0, first[-1], run), cuts, cuts[1:], strict=False):
+    opened = np.bincount(window, weights=index.post_at[term + 1] - index.post_at[term], minlength=first[-1])
+    for low, high in _runs(opened, run):
+        a, b = np.searchsorted(window, (low, high))
         own_term, own_window = term[a:b], window[a:b] - low
-        n = min(run, first[-1] - low)
+        n = high - low
         # At most what was set aside in all, and what such weak terms add to the part.
         rest, own_level = aside[low : low + n, None], level[low : low + n]
         block_rest = np.minimum(rest, index.block_low[own_level]).ravel()
@@ -236,22 +296,35 @@ def retrieve(index: Index, hashes: np.ndarray, splits: np.ndarray, least: float)
         cell = own_window[owner[owner2]] * parts + index.post_part[place]
         ceiling = np.bincount(cell, weights=index.weight[place], minlength=n * parts)
         near.append(np.flatnonzero((ceiling > 0) & (ceiling + part_rest >= least - eps)) + low * parts)
-    # What is left is scored exactly.
+    # What is left is scored exactly, a bounded number of pairs at a time.
     unique = np.concatenate([*near, np.zeros(0, np.int64)])
-    window, part = unique // parts, unique % parts
-    owner, place = _spread(index.own_at[part], index.own_at[part + 1] - index.own_at[part])
-    key = window[owner] * len(index.terms) + index.own_term[place]
-    at = np.minimum(np.searchsorted(held, key), len(held) - 1)
-    score = np.bincount(owner, weights=np.where(held[at] == key, index.own_weight[place], 0.0), minlength=len(window))
+    scores = [np.zeros(0)]
+    for i in range(0, len(unique), SUMS // PART_WORDS):
+        window, part = np.divmod(unique[i : i + SUMS // PART_WORDS], parts)
+        owner, place = _spread(index.own_at[part], index.own_at[part + 1] - index.own_at[part])
+        key = window[owner] * len(index.terms) + index.own_term[place]
+        at = np.minimum(np.searchsorted(held, key), len(held) - 1)
+        held_weight = np.where(held[at] == key, index.own_weight[place], 0.0)
+        scores.append(np.bincount(owner, weights=held_weight, minlength=len(window)))
+    score = np.concatenate(scores)
     good = score >= least - eps
-    window, part, score = window[good], part[good], score[good]
+    window, part, score = unique[good] // parts, unique[good] % parts, score[good]
     text = np.searchsorted(first, window, side="right") - 1
     begin = splits[text] + (window - first[text]) * PART_WORDS
     return begin, np.minimum(begin + 2 * PART_WORDS, splits[text + 1]), text, part, score
 
 
-def _share(own: np.ndarray, found: np.ndarray) -> float:
-    return float(np.isin(own, found).mean()) if len(own) else 0.0
+def _runs(opened: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `most` passages that open at most `SUMS` postings, or are one passage."""
+    total = np.cumsum(opened)
+    low = 0
+    while low < len(opened):
+        before = total[low - 1] if low else 0
+        high = int(np.searchsorted(total, before + SUMS, side="right"))
+        high = min(max(high, low + 1), low + most, len(opened))
+        if total[high - 1] > before:
+            yield low, high
+        low = high
 
 
 def find(index: Index, data: np.ndarray, offsets: np.ndarray, least_score: float, least_overlap: float):
@@ -259,19 +332,19 @@ def find(index: Index, data: np.ndarray, offsets: np.ndarray, least_score: float
     hashes, splits = term_hashes(data, offsets)
     best: dict[tuple[int, int], float] = {}
     _, _, texts, parts, scores = retrieve(index, hashes, splits, least_score)
+    if not len(texts):
+        return {}
     for key, score in zip(zip(texts.tolist(), index.part_of[parts].tolist(), strict=True), scores.tolist(), strict=True):
         best[key] = max(best.get(key, 0.0), score)
-    out, last, found = {}, -1, {}
-    for text, item in sorted(best):
-        if text != last:
-            last, found = text, {}
-        size = index.sizes[item]
-        if size not in found:
-            found[size] = _grams(hashes[splits[text] : splits[text + 1]], size)
-        shares = [_share(own, found[size]) for own in index.runs[item]]
-        if max(shares) >= least_overlap:
-            out[text, item] = (best[text, item], *shares)
-    return out
+    # Runs are looked up for all texts at once; few texts hold any of an item.
+    keys, shares = index.shares(hashes, splits)
+    text, side = np.divmod(keys, max(1, len(index.lengths)))
+    overlaps: dict[tuple[int, int], list[float]] = {}
+    for t, x, share in zip(text.tolist(), side.tolist(), shares.tolist(), strict=True):
+        overlaps.setdefault((t, x // 3), [0.0, 0.0, 0.0])[x % 3] = share
+    return {
+        key: (best[key], *own) for key, own in sorted(overlaps.items()) if key in best and max(own) >= least_overlap
+    }
 
 
 def _indexes(items: DataFrame, item_id: str, text: str, gram: int) -> Iterator[Index]:
@@ -279,9 +352,42 @@ def _indexes(items: DataFrame, item_id: str, text: str, gram: int) -> Iterator[I
     rows = items.select(F.col(item_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = -(-size // SLICE_CHARS)
+    statistics = _statistics(rows, gram) if slices > 1 else None
     for i in range(slices):
         own = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == i).collect()
-        yield Index([r["id"] for r in own], gram).build([r["text"] for r in own])
+        yield Index([r["id"] for r in own], gram).build([r["text"] for r in own], statistics)
+
+
+def _statistics(rows: DataFrame, gram: int):
+    """What `Index.build` asks for, counted over all items: parts per term, all parts
+    and their mean length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = [np.unique(cut) for t in batch.column(0).to_pylist() for cut in _parts(*_sides(t, gram))]
+            words = sum(len(cut) for t in batch.column(0).to_pylist() for cut in _parts(*_sides(t, gram)))
+            terms, counts = np.unique(np.concatenate([*cuts, np.zeros(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "term": pa.array([*terms.view(np.int64).tolist(), None], pa.int64()),
+                    "n": pa.array([*counts.tolist(), len(cuts)], pa.int64()),
+                    "words": pa.array([0] * len(terms) + [words], pa.int64()),
+                }
+            )
+
+    counted = rows.select("text").mapInArrow(run, "term long, n long, words long")
+    work = Workspace(rows.sparkSession)
+    counted = work.save(counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "terms")
+    total = counted.where("term IS NULL").first()
+
+    def of(terms: np.ndarray) -> tuple[np.ndarray, int, float]:
+        # The terms of one slice, which bounds them.
+        own = rows.sparkSession.createDataFrame([(int(t),) for t in terms.view(np.int64)], "term long")
+        found = {r["term"]: r["n"] for r in counted.join(own, "term", "left_semi").collect()}
+        df = np.array([found[int(t)] for t in terms.view(np.int64)])
+        return df, total["n"], total["words"] / max(1, total["n"])
+
+    return of
 
 
 def matches(

@@ -45,6 +45,33 @@ def test_slices_of_items_give_the_same(spark, odd, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.matches(odd(docs), table, ["doc_id"]).collect()} == leaks
 
 
+def test_what_is_found_does_not_depend_on_the_slices(spark, odd, monkeypatch):
+    """Half copies of items: their scores lie near the threshold."""
+    rng = random.Random(8)
+    items, docs, _ = planted(8, n_items=60)
+    for i in range(120):
+        own = items[i % 60].split(" ")
+        cut = rng.randrange(len(own) // 3, len(own))
+        docs.append(" ".join([*words(rng, 40), *own[:cut], *words(rng, 40)]))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    frame = odd(docs)
+    rows = lambda: sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in decontaminate.matches(frame, table, ["doc_id"]).collect())
+    whole = rows()
+    monkeypatch.setattr(decontaminate, "SLICE_CHARS", 3000)
+    assert rows() == whole and len(whole) > 50
+
+
+def test_small_runs_of_passages_give_the_same(monkeypatch):
+    items, docs, _ = planted(5)
+    import pyarrow as pa
+
+    index = decontaminate.Index(list(range(len(items))), 5).build(items)
+    (_, data, offsets), = text_slices(pa.array([d.lower() for d in docs]))
+    whole = decontaminate.find(index, data, offsets, 0.5, 0.5)
+    monkeypatch.setattr(decontaminate, "SUMS", 100)
+    assert decontaminate.find(index, data, offsets, 0.5, 0.5) == whole and whole
+
+
 def test_search_finds_all_that_plain_scores_reach():
     items, docs, _ = planted(3, n_docs=40)
     index = decontaminate.Index(list(range(len(items))), 5).build(items)
