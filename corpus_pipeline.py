@@ -28,19 +28,23 @@ from corpusloom.session import Workspace
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, result="toxicity_score_of_stage")
-    return scored.where("toxicity_score_of_stage < 0.5").drop("toxicity_score_of_stage")
+    score = "toxicity_score" + "_" * max(map(len, docs.columns))  # longer than any name here
+    return toxicity.score(docs, model, result=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach(spark)
-    kept = lines.drop_common_lines(docs, "text", threshold=10, min_chars=1)
-    new = {"text": F.col("kept_text")}
+    # Numbered names: none is one of the operator's.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = plain.columns[docs.columns.index("text")]
+    kept = lines.drop_common_lines(plain, text, threshold=10, min_chars=1)
+    new = {text: F.col("kept_text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        place = docs.columns.index("n_chars")
+        new[plain.columns[place]] = F.length("kept_text").cast(docs.schema.fields[place].dataType)
     # A text without dropped lines stays as it is, also a null one.
     new = {c: F.when(F.col("n_dropped") > 0, e).otherwise(F.col(c)) for c, e in new.items()}
-    return kept.withColumns(new).select(*docs.columns)
+    return kept.withColumns(new).select(*plain.columns).toDF(*docs.columns)
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
