@@ -79,3 +79,15 @@ def test_empty_documents(spark, odd, tmp_path, tables):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, tables)
     assert docs.collect() == []
+
+
+def test_columns_named_like_those_of_a_stage_stay(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    clash = ["n_lines", "n_dropped", "kept_text", "toxicity_score", "text_key", "lines", "shard"]
+    for i, name in enumerate(clash):
+        docs = docs.withColumn(name, docs.doc_id + i)
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        kept = stage(spark, docs, tables)
+        assert kept.columns == docs.columns, name
+        rows = kept.select("doc_id", *clash).where("doc_id IS NOT NULL").collect()
+        assert rows and all([r[c] - r.doc_id for c in clash] == list(range(len(clash))) for r in rows), name
