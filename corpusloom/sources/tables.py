@@ -14,7 +14,6 @@ import hashlib
 import re
 import time
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -78,15 +77,16 @@ class Tables:
     def whole(self, name: str, schema: StructType) -> DataFrame:
         """The rows of a stored table whose load is complete. Loads are looked up before
         the files are listed, so of a load that ends in between nothing is seen."""
-        done = self.loads().select("load_id").distinct()
-        return self._of_loads(lambda: self.read(name, schema), done).select(schema.names)
+        done = self.loads().select("load_id")
+        some = [r["load_id"] for r in done.limit(_FEW_LOADS + 1).collect()]
+        few = set(some) if len(some) <= _FEW_LOADS else None
+        return self._of_loads(self.read(name, schema), few, done).select(schema.names)
 
-    def _of_loads(self, rows: Callable[[], DataFrame], loads: DataFrame) -> DataFrame:
+    def _of_loads(self, rows: DataFrame, few: set[str] | None, loads: DataFrame) -> DataFrame:
         """Few loads choose their folders as literals; many are joined."""
-        few = [r["load_id"] for r in loads.limit(_FEW_LOADS + 1).collect()]
-        if len(few) <= _FEW_LOADS:
-            return rows().where(F.col("load_id").isin(few))
-        return rows().join(F.broadcast(loads), "load_id", "left_semi")
+        if few is not None:
+            return rows.where(F.col("load_id").isin(sorted(few)))
+        return rows.join(F.broadcast(loads.distinct()), "load_id", "left_semi")
 
     def documents(self) -> DataFrame:
         return self.whole("documents", schemas.DOCUMENTS)
@@ -150,10 +150,15 @@ class Tables:
         number, buckets = self.generation()
         if not buckets:
             return None
-        # A load that was cut off has no row here. One row per load.
-        whole = self.indexed(number).select("load_id").distinct()
-        postings = self._of_loads(lambda: self.spark.table(self._bucketed(number, buckets)), whole)
-        bounds = self._of_loads(lambda: self.read(_part("bounds", number), schemas.BOUNDS), whole)
+        # A load that was cut off has no row here.
+        rows = self.read(_part("indexed", number), schemas.INDEXED)
+        some = rows.select("load_id", "replaces").limit(_FEW_LOADS + 1).collect()
+        few = None
+        if len(some) <= _FEW_LOADS:
+            few = {r["load_id"] for r in some} - {name for r in some for name in r["replaces"]}
+        whole = self.indexed(number).select("load_id")
+        postings = self._of_loads(self.spark.table(self._bucketed(number, buckets)), few, whole)
+        bounds = self._of_loads(self.read(_part("bounds", number), schemas.BOUNDS), few, whole)
         return Index(postings.select(schemas.POSTINGS.names), bounds, buckets)
 
     def postings(self) -> DataFrame:

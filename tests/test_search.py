@@ -11,6 +11,7 @@ from corpusloom.plans.ingest import ingest
 from corpusloom.plans.report import index_report, timed
 from corpusloom.plans.search import literal_grams, search, search_batch, search_batch_stored, search_stored
 from corpusloom.plans.view import document_view
+from corpusloom.sources import tables as stored_tables
 from corpusloom.sources.tables import Tables
 
 TEXTS = {
@@ -158,6 +159,13 @@ def test_hits_are_counted_where_postings_are_read(spark, corpus):
             assert "WindowGroupLimit" in names[:first], names
 
 
+def test_many_loads_are_joined(corpus, monkeypatch):
+    before = found(search_stored(corpus, "cancer diagnosis"))
+    monkeypatch.setattr(stored_tables, "_FEW_LOADS", 0)
+    assert found(search_stored(corpus, "cancer diagnosis")) == before
+    assert corpus.documents().count() == len(TEXTS)
+
+
 LONG = {
     f"long{i}": ("", " ".join(f"{w} cancer diagnosis" for w in ("alpha", "beta", "gamma")[: 1 + i % 3]) * (60 + i))
     for i in range(12)
