@@ -191,11 +191,12 @@ def train(texts: list[str], labels: list[int], seed: int = 7, odds: float = 1.0)
     for low in range(0, len(listed), GATHERED):
         own = listed[low : low + GATHERED]
         place, row = subwords(own)
-        parts.append(row[np.argsort(place, kind="stable")])
+        # Places in a table of 2^16 rows fit two bytes.
+        parts.append(row[np.argsort(place, kind="stable")].astype(np.uint16))
         counts.append(np.bincount(place, minlength=len(own)))
     row_ids = np.concatenate(parts)
     row_splits = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-    del parts, listed
+    del parts, listed, number
     word_ids, seg_splits, seg_text = map(np.array, (word_ids, seg_splits, seg_text))
     n_words = len(row_splits) - 1
     row_share = 1.0 / np.diff(row_splits)
@@ -223,7 +224,13 @@ def train(texts: list[str], labels: list[int], seed: int = 7, odds: float = 1.0)
         error = ((1 / (1 + np.exp(-logit)) - target)).astype(np.float32)
         grad_weights = seg_vec.T @ error + 1e-3 * weights
         to_seg = (error * seg_share).astype(np.float32)
-        to_word = np.bincount(word_ids, weights=np.repeat(to_seg, seg_sizes), minlength=n_words) * row_share
+        to_word = np.zeros(n_words)
+        for low in range(0, len(to_seg), GATHERED):
+            own = slice(low, low + GATHERED)
+            ends = seg_splits[[low, min(low + GATHERED, len(to_seg))]]
+            weight = np.repeat(to_seg[own], seg_sizes[own])
+            to_word += np.bincount(word_ids[ends[0] : ends[1]], weights=weight, minlength=n_words)
+        to_word *= row_share
         to_row = np.zeros(BUCKETS)
         for low in range(0, n_words, GATHERED):
             own = slice(low, low + GATHERED)
