@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.text import GRAM_BYTES, has_grams, normalized_bytes
+from corpusloom.session import reach
 
 # Fixed values of the stored layout: two tiers for each doubling of the windows of a
 # document; documents of fewer than 2^10 windows share the lowest one.
@@ -18,6 +23,9 @@ LOWEST_TIER = 10 * TIERS_PER_DOUBLING
 # whatever the length of its text.
 _SLICE = 64 * 1024
 
+# Bytes of text whose grams are counted at a time.
+_COUNTED = 1 << 20
+
 
 def window_count(text_cols: Sequence[str]) -> Column:
     """How many grams the texts of a document have."""
@@ -38,6 +46,21 @@ def tier_limit(tier: Column) -> Column:
     return F.ceil(F.pow(F.lit(2.0), (tier + 1) / TIERS_PER_DOUBLING)) + 1
 
 
+def _text_slices(documents: DataFrame, text_cols: Sequence[str]) -> DataFrame:
+    """The further columns of every document, and `data`: its texts as normalised bytes,
+    field by field, in slices that overlap so that no window is lost."""
+    field = F.explode(F.array(*text_cols)) if len(text_cols) > 1 else F.col(text_cols[0])
+    keys = [c for c in documents.columns if c not in text_cols]
+    texts = documents.select(*keys, field.alias("text")).where(has_grams("text"))
+    data = texts.select(*keys, normalized_bytes("text").alias("data"))
+    last = F.octet_length("data") - (GRAM_BYTES - 1)
+    return data.select(
+        *keys, "data", F.explode(F.sequence(F.lit(1), last, F.lit(_SLICE))).alias("start")
+    ).select(
+        *keys, F.substring(F.col("data"), F.col("start"), F.lit(_SLICE + GRAM_BYTES - 1)).alias("data")
+    )
+
+
 def explode_grams(documents: DataFrame, id_col: str, text_cols: Sequence[str]) -> DataFrame:
     """One row (doc_id, gram) for every three-byte window of every text column.
 
@@ -45,18 +68,8 @@ def explode_grams(documents: DataFrame, id_col: str, text_cols: Sequence[str]) -
     exploded rather than arrays of grams: a plain integer sequence and a
     `substring` stay in generated code, a lambda over an array does not.
     """
-    field = F.explode(F.array(*text_cols)) if len(text_cols) > 1 else F.col(text_cols[0])
-    texts = documents.select(F.col(id_col).alias("doc_id"), field.alias("text")).where(
-        has_grams("text")
-    )
-    data = texts.select("doc_id", normalized_bytes("text").alias("data"))
+    slices = _text_slices(documents.select(F.col(id_col).alias("doc_id"), *text_cols), text_cols)
     last = F.octet_length("data") - (GRAM_BYTES - 1)
-    slices = data.select(
-        "doc_id", "data", F.explode(F.sequence(F.lit(1), last, F.lit(_SLICE))).alias("start")
-    ).select(
-        "doc_id",
-        F.substring(F.col("data"), F.col("start"), F.lit(_SLICE + GRAM_BYTES - 1)).alias("data"),
-    )
     windows = slices.select(
         "doc_id", "data", F.explode(F.sequence(F.lit(1), last)).alias("pos")
     )
@@ -65,29 +78,108 @@ def explode_grams(documents: DataFrame, id_col: str, text_cols: Sequence[str]) -
     )
 
 
+def gram_codes(data: np.ndarray) -> np.ndarray:
+    """The windows of a byte array as numbers in the order of the grams."""
+    wide = data.astype(np.int64)
+    return wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]
+
+
+def _gram_array(codes: np.ndarray) -> pa.Array:
+    data = codes.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()
+    offsets = np.arange(len(codes) + 1, dtype=np.int32) * GRAM_BYTES
+    return pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _new_documents(ids: pa.Array) -> np.ndarray:
+    """Where an id is not that of the row before."""
+    before, after = ids.slice(0, len(ids) - 1), ids.slice(1)
+    other = pc.or_(
+        pc.fill_null(pc.not_equal(before, after), False), pc.xor(pc.is_null(before), pc.is_null(after))
+    )
+    return np.concatenate([[True], other.to_numpy(zero_copy_only=False)])
+
+
+def _count_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings of rows (doc_id, further columns, data) that lie together by document.
+
+    Some megabytes of text are counted at a time; the counts of the last document are
+    held until the next one begins, so a task's memory is that of one document's grams.
+    """
+    held: tuple[pa.RecordBatch, np.ndarray, np.ndarray] | None = None
+
+    def postings(keys: pa.RecordBatch, rows: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        columns = dict(zip(keys.schema.names, keys.take(pa.array(rows)).columns, strict=True))
+        return pa.RecordBatch.from_pydict({"gram": _gram_array(codes), **columns, "tf": pa.array(counts, pa.int64())})
+
+    def one(held: tuple[pa.RecordBatch, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return postings(held[0], np.zeros(len(held[1]), dtype=np.int64), held[1], held[2])
+
+    for whole in batches:
+        sizes = pc.binary_length(whole.column("data")).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = np.cumsum(sizes) // _COUNTED
+        for start, stop in zip(*_runs(part), strict=True):
+            batch = whole.slice(start, stop - start)
+            data = batch.column("data").cast(pa.large_binary())
+            offsets = np.frombuffer(data.buffers()[1], dtype=np.int64)[data.offset : data.offset + len(data) + 1]
+            text = np.frombuffer(data.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+            keys = batch.select([c for c in batch.schema.names if c != "data"])
+            first = _new_documents(keys.column("doc_id"))
+            numbers = np.cumsum(first) - 1
+            starts = np.flatnonzero(first)
+            # A window belongs to the row of its first byte, and ends inside it.
+            own = np.repeat(numbers, np.diff(offsets))
+            inside = np.ones(len(text), dtype=bool)
+            ends = offsets[1:] - offsets[0]
+            inside[ends - 1] = inside[ends - 2] = False
+            found = (own[:-2] << 24 | gram_codes(text))[inside[:-2]]
+            found, counts = np.unique(found, return_counts=True)
+            of, codes = found >> 24, found & 0xFFFFFF
+            if held is not None:
+                if keys.column("doc_id")[0] == held[0].column("doc_id")[0]:
+                    n = int(np.searchsorted(of, 1))
+                    merged, where = np.unique(np.concatenate([held[1], codes[:n]]), return_inverse=True)
+                    sums = np.zeros(len(merged), dtype=np.int64)
+                    np.add.at(sums, where, np.concatenate([held[2], counts[:n]]))
+                    of = np.concatenate([np.zeros(len(merged), dtype=np.int64), of[n:]])
+                    codes, counts = np.concatenate([merged, codes[n:]]), np.concatenate([sums, counts[n:]])
+                else:
+                    yield one(held)
+            n = int(np.searchsorted(of, numbers[-1]))
+            if n:
+                yield postings(keys, starts[of[:n]], codes[:n], counts[:n])
+            held = (keys.slice(int(starts[-1]), 1), codes[n:], counts[n:])
+    if held is not None:
+        yield one(held)
+
+
+def _runs(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of equal numbers."""
+    edges = np.flatnonzero(np.diff(part)) + 1
+    return np.concatenate([[0], edges])[: len(part)], np.concatenate([edges, [len(part)]])[: len(part)]
+
+
 def count_grams(
     documents: DataFrame,
     id_col: str,
     text_cols: Sequence[str],
     partitions: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Postings (gram, doc_id, tf): how often each gram occurs in a document.
 
-    The texts are spread by document id first. All grams of a document then sit
-    in one partition, which already satisfies the grouping below, so the grams
-    themselves, many times the size of the text, are counted without a shuffle.
+    The texts are spread and sorted by document id. All slices of a document then lie
+    together, and its grams, many times the size of the text, are counted one document
+    at a time: without a shuffle, and in memory that does not grow with a task's part.
     `partitions` sets how many parts the texts are spread over (default: the
-    session's shuffle partitions); 8-16 MB of text per part keeps the counting
-    hash map of a task in memory.
+    session's shuffle partitions). Columns to `keep` are one value per document.
     """
-    texts = documents.select(id_col, *text_cols)
-    by = [F.col(id_col)]
-    spread = texts.repartition(partitions, *by) if partitions else texts.repartition(*by)
-    return (
-        explode_grams(spread, id_col, text_cols)
-        .groupBy("gram", "doc_id")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    reach(documents.sparkSession)
+    texts = documents.select(F.col(id_col).alias("doc_id"), *keep, *text_cols)
+    spread = texts.repartition(partitions, "doc_id") if partitions else texts.repartition("doc_id")
+    slices = _text_slices(spread.sortWithinPartitions("doc_id"), text_cols)
+    schema = slices.drop("data").schema
+    schema = T.StructType([T.StructField("gram", T.BinaryType()), *schema.fields, T.StructField("tf", T.LongType())])
+    return slices.mapInArrow(_count_slices, schema).select("gram", "doc_id", "tf", *keep)
 
 
 def vocabulary(postings: DataFrame, unique: bool = False) -> DataFrame:

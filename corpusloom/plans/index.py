@@ -42,14 +42,11 @@ def _buckets(loads: DataFrame) -> int:
 def _placed(documents: DataFrame, buckets: int) -> DataFrame:
     """Postings with the load and the tier of their document.
 
-    The counted rows are spread by document already, into as many parts as the
-    index has buckets; only the ids move to meet them, and each task then writes
-    one bucket.
+    The texts are spread by document, into as many parts as the index has buckets,
+    so each task writes one bucket.
     """
-    owners = documents.select(
-        F.col("id").alias("doc_id"), "load_id", size_tier(window_count(TEXT)).alias("tier")
-    )
-    return build_postings(documents, buckets).join(owners.hint("shuffle_hash"), "doc_id")
+    tiered = documents.withColumn("tier", size_tier(window_count(TEXT)))
+    return count_grams(tiered, "id", TEXT, buckets, keep=("load_id", "tier"))
 
 
 def build_index(tables: Tables, mode: str = "overwrite", partitions: int | None = None) -> None:

@@ -99,3 +99,25 @@ def test_counting_needs_no_shuffle_of_grams(spark):
     plan = g.count_grams(frame, "id", ["text"], partitions=3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert plan.index("Generate") < plan.index("Exchange")
+
+
+def test_documents_are_counted_one_at_a_time(spark):
+    """The memory of a task is that of a document: no hash map over its part of the grams."""
+    frame = spark.range(10).select("id", F.col("id").cast("string").alias("text"))
+    plan = g.count_grams(frame, "id", ["text"], partitions=3)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+
+
+def test_rows_that_share_an_id_are_counted_together(spark, monkeypatch):
+    """Also null ids, a document that spans batches, and kept columns."""
+    rows = [(1, "abcd", "x"), (2, "abc" * 40_000, "y"), (None, "abc", "z"), (1, "bcde", "x"), (None, "ABC", "z"), (3, None, "x")]
+    frame = spark.createDataFrame(rows, "id long, text string, kind string")
+    expected = Counter()
+    for i, text, kind in rows:
+        expected.update((i, kind, w) for w in windows(text or ""))
+    for limit in (str(1), str(10_000)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+        found = g.count_grams(frame, "id", ["text"], partitions=2, keep=["kind"]).collect()
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert {(r.doc_id, r.kind, bytes(r.gram)): r.tf for r in found} == dict(expected)
+        assert len(found) == len(expected)
