@@ -1,8 +1,10 @@
 import json
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from corpusloom.operators import hits
 from corpusloom.plans import index as index_plans
 from corpusloom.plans import search as plans
 from corpusloom.plans.full import run_all
@@ -87,6 +89,34 @@ def test_batch_search(spark, corpus, monkeypatch, terms):
     assert got == {i: rows for i, rows in expected.items() if rows}
 
 
+def test_pairs_of_sets_and_documents_are_no_rows(spark, corpus):
+    """Hits are summed in blocks of documents; only a task's k best per set become rows."""
+    index = corpus.index()
+    terms = spark.createDataFrame([(0, 10, bytearray(b"can")), (1, 10, bytearray(b"dia"))], "set_no long, tier int, gram binary")
+    text = plan(plans._top_of(index.postings, corpus.documents(), terms, 2, False)).split("== Initial Plan ==")[0]
+    lines = text.splitlines()
+    assert any("MapInArrow" in line and "hits" in line for line in lines)
+    assert not any("Aggregate(keys=[set_no" in line and "doc_id" in line for line in lines), text
+
+
+def test_ties_and_blocks(spark, monkeypatch):
+    """Equal hits over many blocks: the lower ids rank, also beyond 32 bits of hits."""
+    monkeypatch.setattr(hits, "_DOCUMENTS", 2)
+    rows = [(b"abc", d, 5) for d in range(9, 0, -1)] + [(b"bcd", 7, 2**31), (b"bcd", 3, 1), (b"xyz", 2, 9)]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "doc_id": pa.array(range(9, 0, -1)),
+            "grams": pa.array([[g for g, d, _ in rows if d == i] for i in range(9, 0, -1)]),
+            "tfs": pa.array([[n for _, d, n in rows if d == i] for i in range(9, 0, -1)]),
+        }
+    )
+    sets = pa.table({"set_no": [4, 8], "grams": [[b"abc", b"bcd"], [b"xyz", b"zzz"]], "least": [0, 0]})
+    out = pa.Table.from_batches(hits.top_hits(lambda: hits.sets_of(sets), 3)(iter([batch]))).to_pylist()
+    assert sorted((r["set_no"], -r["hits"], r["doc_id"]) for r in out) == [
+        (4, -5 - 2**31, 7), (4, -6, 3), (4, -5, 1), (8, -9, 2)
+    ]
+
+
 def test_rows_that_share_an_id_are_answered_apart(spark, corpus):
     documents = corpus.documents().collect()
     asked_rows = [(1, "cancer"), (1, "open access"), (1, "cancer"), (2, "text\0cancer"), (3, "ab")]
@@ -281,6 +311,18 @@ def test_replayed_load_and_cut_off_build(tables, folder, article, monkeypatch):
     assert sorted(map(str, tables.postings().drop("load_id").collect())) == before
 
 
+def test_postings_belong_to_every_row_of_an_id(spark):
+    rows = [(1, "abcd", "", "x"), (1, "", "abc", "y"), (2, "abc", None, "x")]
+    documents = spark.createDataFrame(rows, "id long, title string, abstract string, load_id string")
+    placed = index_plans._placed(documents, 2)
+    assert sorted((bytes(r.gram), r.doc_id, r.tf, r.load_id, r.tier) for r in placed.collect()) == [
+        (b"abc", 1, 2, "x", 20), (b"abc", 1, 2, "y", 20), (b"abc", 2, 1, "x", 20),
+        (b"bcd", 1, 1, "x", 20), (b"bcd", 1, 1, "y", 20),
+    ]
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
 def test_compaction_bounds_the_folders(spark, tables, article):
     """Fifty loads; merged postings count once, also when a load is indexed again."""
     from corpusloom.plans.compact import compact_index

@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -43,6 +44,16 @@ def test_query_grams(spark):
         assert grams(odd) == literal_grams(odd)
 
 
+def test_query_grams_take_time_in_proportion(spark):
+    """A query of 40,000 windows: made anew per window, or compared pair by pair, it took minutes."""
+    text = "".join(chr(97 + i * i % 23) + chr(97 + i // 676 % 26) + chr(97 + i // 26 % 26) for i in range(13_334))
+    frame = spark.createDataFrame([(text,)], "q string")
+    started = time.monotonic()
+    found = frame.select(tx.query_grams("q").alias("g")).first().g
+    assert time.monotonic() - started < 20
+    assert [bytes(x) for x in found] == list(dict.fromkeys(windows(text)))
+
+
 def test_preview_keeps_whole_characters(spark):
     cases = ["é" * 100, "a" * 119 + "é", "a" * 118 + "日", "x" + "😀" * 40, "short", ""]
     for text in cases:
