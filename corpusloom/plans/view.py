@@ -11,6 +11,8 @@ from corpusloom.operators.keys import id_block
 from corpusloom.operators.lookup import by_ids
 
 SHOWN = ["id", "doi", "title", "abstract", "issn", "pub_year"]
+# Relations that a task gathers into lists.
+_ROWS_PER_TASK = 500_000
 AUTHORS_TYPE = "array<struct<author_order:int,first_name:string,last_name:string>>"
 
 
@@ -44,6 +46,9 @@ def document_view(
     `ids` may be a few literal ids, which prune the scans, a frame with a
     column `id`, or None for all documents. An id that is not stored gives no
     row. The array holds the authors of one document.
+
+    Relations are stored in few bytes, so a task that reads them holds many millions:
+    they are spread by document, into parts by their number, before they are gathered.
     """
     if isinstance(ids, DataFrame):
         wanted = ids.select("id").distinct().withColumn("id_block", id_block("id"))
@@ -52,9 +57,13 @@ def document_view(
     elif ids is not None:
         documents = by_ids(documents, "id", ids)
         relations = by_ids(relations, "document_id", ids)
+    parts = relations.count() // _ROWS_PER_TASK
+    named = document_authors(relations, authors)
+    # Fewer rows than the session's partitions would hold are left to adaptive execution.
+    if parts > 1:
+        named = named.repartition(parts, "document_id")
     listed = (
-        document_authors(relations, authors)
-        .groupBy("document_id")
+        named.groupBy("document_id")
         .agg(
             F.sort_array(
                 F.collect_list(
