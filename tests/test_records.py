@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.sources.files import read_files
 from corpusloom.sources.records import accepted, parse_records, rejected
@@ -139,3 +140,23 @@ def test_files_are_read_whole_and_recursively(spark, folder):
     found = {r.file_path.rsplit("/", 1)[1]: r.value for r in read_files(spark, root).collect()}
     assert found == {"a.json": "line 1\nline 2\n", "b": "{}"}
     assert read_files(spark, root + "/a.json").count() == 1
+
+
+def test_authors_are_taken_apart_only_where_one_repeats_a_key(spark, monkeypatch):
+    """A record that repeats a key elsewhere has its authors read as one VARIANT."""
+    from corpusloom.sources import records
+
+    def apart(metadata, limit):
+        name = F.lit("apart")
+        return F.array(F.struct(*[name.alias(p) for p in ("first", "last", "initial")]))
+
+    monkeypatch.setattr(records, "_author_texts", apart)
+    listed = '[{"first":"A","last":"\\u00e9\\"","initial":7},null,"x",{"last":"B"}]'
+    rows = [
+        ("once", '{"metadata":{"doi":"a","doi":"b","authors":%s}}' % listed),
+        ("author", '{"metadata":{"doi":"a","authors":[{"first":"A","first":"B"}]}}'),
+    ]
+    parsed = parse_records(spark.createDataFrame(rows, "file_path string, value string"))
+    got = {r.file_path: [tuple(a) for a in r.authors] for r in parsed.collect()}
+    assert got["once"] == [("A", 'é"', ""), ("", "", ""), ("", "", ""), ("", "B", "")]
+    assert got["author"] == [("apart",) * 3]
