@@ -60,6 +60,8 @@ RATE = 0.02
 WORDS_KEPT = 500_000
 #: Ranges summed at a time while training, which bounds the driver's memory.
 GATHERED = 10_000
+#: Texts scored at a time.
+SCORED = 128
 
 _WORD = re.compile(r"\w+")
 
@@ -243,7 +245,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7, odds: float = 1.0)
         bias = step(bias, np.array([error.sum()], dtype=np.float32), moments[2], turn)[0]
     model = Model(table, weights, float(bias))
     del row_ids, word_ids
-    highest = np.array(model.highest(texts))
+    # The words of a few texts at a time, as in scoring: as objects they are many times the text.
+    highest = np.concatenate([model.highest(texts[low : low + SCORED]) for low in range(0, len(texts), SCORED)])
     # Texts that training saw look better apart than they are: the threshold stands
     # between the classes where the smoothed count of errors is least.
     return Model(table, weights, float(bias) - cut_between(highest, labels_, odds))
@@ -305,8 +308,8 @@ def score(documents: DataFrame, model: Model, text: str = "text", result: str =
         own = shared.value
         for batch in batches:
             scores = []
-            for low in range(0, batch.num_rows, 128):
-                scores += own.scores(batch.column(at).slice(low, 128).to_pylist())
+            for low in range(0, batch.num_rows, SCORED):
+                scores += own.scores(batch.column(at).slice(low, SCORED).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], schema=arrow)
 
     return documents.mapInArrow(task, schema)
