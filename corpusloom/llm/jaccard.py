@@ -22,6 +22,10 @@ of the threshold or more.
 Nodes and components of any size are cut into blocks, and each pair of blocks is
 one unit of work; small ones are bundled. A node or component with a third of
 all texts is thus spread over many tasks, and no task holds more than two blocks.
+What hangs together inside a block is told by the unit of that block alone; a unit of
+two blocks adds only edges between the groups it finds in them, and every group hangs
+on its least key. So a group's edges are about its texts, however many blocks it has
+and however many tries it lies in.
 What leaves a task is counts and spanning edges, at most a few rows per text.
 Joins with texts and signatures are merge joins at every size, and texts are
 shuffled compressed.
@@ -159,9 +163,11 @@ class _Forest:
         if i != j:
             self.up[max(i, j)] = min(i, j)
 
-    def edges(self) -> tuple[list[int], list[int]]:
+    def edges(self, inside: _Forest | None = None) -> tuple[list[int], list[int]]:
+        """Every item but the roots, with its root. What the forest `inside` joins already
+        is left out: only its roots are told."""
         roots = [self.root(i) for i in range(len(self.up))]
-        own = [i for i, r in enumerate(roots) if r != i]
+        own = [i for i, r in enumerate(roots) if r != i and (inside is None or inside.root(i) == i)]
         return own, [roots[i] for i in own]
 
 
@@ -174,26 +180,33 @@ def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True))
 
 
+def _sorted(table: pa.Table, name: str) -> pa.Table:
+    """By unit of work, and by key inside: the first row of a group is its least key."""
+    return table.sort_by([(c, "ascending") for c in (name, "low", "high", "key")])
+
+
 def _candidates(threshold: float):
     least = threshold - MARGIN * (threshold * (1 - threshold) / (TREES * LABEL)) ** 0.5
 
     def run(table: pa.Table) -> pa.Table:
-        node, low, high = (table[c].to_numpy() for c in ("node", "low", "high"))
-        order = np.lexsort((high, low, node))
-        node, low, high = node[order], low[order], high[order]
-        keys = table["key"].take(pa.array(order))
-        marks = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.uint32).reshape(-1, TREES * LABEL)[order]
+        table = _sorted(table, "node")
+        node, low, high, block = (table[c].to_numpy() for c in ("node", "low", "high", "block"))
+        keys = table["key"]
+        marks = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.uint32).reshape(-1, TREES * LABEL)
         left, right = [], []
         for a, b in _runs(node, low, high):
-            own = marks[a:b]
+            own, at_home = marks[a:b], block[a:b]
             forest = _Forest(b - a)
+            inside = _Forest(b - a) if low[a] != high[a] else None
             for at in range(0, b - a, 64):
                 # Only pairs once: with those after each row.
                 part = own[at : at + 64]
                 same = (part[:, None, :] == own[None, at:, :]).mean(axis=2)
-                for i, j in np.argwhere(np.triu(same >= least, 1)):
-                    forest.join(at + int(i), at + int(j))
-            x, y = forest.edges()
+                for i, j in (at + np.argwhere(np.triu(same >= least, 1))).tolist():
+                    forest.join(i, j)
+                    if inside and at_home[i] == at_home[j]:
+                        inside.join(i, j)
+            x, y = forest.edges(inside)
             left += [a + i for i in x]
             right += [a + i for i in y]
         return pa.table({"a": keys.take(pa.array(left, pa.int64())), "b": keys.take(pa.array(right, pa.int64()))})
@@ -227,11 +240,8 @@ def similar_pairs(values: np.ndarray, owner: np.ndarray, n: int, threshold: floa
 
 def _verify(threshold: float):
     def run(table: pa.Table) -> pa.Table:
-        group = table["group"].to_numpy()
-        low, high, block = (table[c].to_numpy() for c in ("low", "high", "block"))
-        order = np.lexsort((high, low, group))
-        table = table.take(pa.array(order))
-        group, low, high, block = group[order], low[order], high[order], block[order]
+        table = _sorted(table, "group")
+        group, low, high, block = (table[c].to_numpy() for c in ("group", "low", "high", "block"))
         copies = table["copies"].to_numpy()
         keys = table["key"]
         left, right, links = [], [], np.zeros(len(group), dtype=np.int64)
@@ -247,15 +257,20 @@ def _verify(threshold: float):
                     splits.append(splits[-1] + len(values[-1]))
             owner = np.repeat(np.arange(b - a), np.diff(splits))
             pairs = similar_pairs(np.concatenate(values), owner, b - a, threshold)
+            forest = _Forest(b - a)
+            for i, j in pairs.tolist():
+                forest.join(i, j)
             # Pairs inside a block belong to the unit of that block alone.
+            inside = None
             if low[a] != high[a]:
-                pairs = pairs[block[a:b][pairs[:, 0]] != block[a:b][pairs[:, 1]]]
+                crossing = block[a:b][pairs[:, 0]] != block[a:b][pairs[:, 1]]
+                inside = _Forest(b - a)
+                for i, j in pairs[~crossing].tolist():
+                    inside.join(i, j)
+                pairs = pairs[crossing]
             np.add.at(links, a + pairs[:, 0], copies[a + pairs[:, 1]])
             np.add.at(links, a + pairs[:, 1], copies[a + pairs[:, 0]])
-            forest = _Forest(b - a)
-            for i, j in pairs.tolist():
-                forest.join(i, j)
-            x, y = forest.edges()
+            x, y = forest.edges(inside)
             left += [a + i for i in x]
             right += [a + i for i in y]
         # One row per text that has links, and one per spanning edge.

@@ -90,3 +90,21 @@ def test_signatures_estimate_similarity():
     values = np.concatenate([common, a, common, b])
     marks = jaccard.signatures(values, np.array([0, 900, 1800]))
     assert abs((marks[0] == marks[1]).mean() - 0.8) < 0.2
+
+
+def test_edges_of_a_group_follow_its_texts_not_its_blocks(odd, monkeypatch):
+    told = []
+
+    def counted(edges, work, components=jaccard.components):
+        told.append(edges.where("a != b").distinct().count())
+        return components(edges, work)
+
+    monkeypatch.setattr(jaccard, "components", counted)
+    monkeypatch.setattr(jaccard, "NODE_BLOCK", 8)
+    monkeypatch.setattr(jaccard, "TEXT_BLOCK", 8)
+    words = [f"w{i}" for i in range(150)]
+    texts = [" ".join([*words[:i], f"n{i}", *words[i + 1 :]]) for i in range(0, 128, 2)]
+    assert jaccard.link(odd(texts)).where("n_links = 63").count() == 64
+    # When units of two blocks told all of their edges, these were 583 and 277.
+    candidates, links = told
+    assert links < 64 + 36 and candidates < 5 * 64
