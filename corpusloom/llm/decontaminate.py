@@ -14,8 +14,9 @@ texts at once:
 * Postings are cut into blocks of items with the largest weight of each; blocks
   whose bounds, with what terms set aside can add there, stay below the
   threshold are skipped.
-* Items of the blocks left are bounded once more by their own weights, and then
-  scored exactly from their own terms.
+* Items of the blocks left are bounded once more by their own weights; where that
+  reaches the threshold, the blocks of the terms set aside that hold such items are
+  opened too. Only what still reaches it is scored from its own terms.
 
 An item's question (all but the last sentence) and its answer (the last sentence)
 are indexed each, in parts of at most `PART_WORDS` words; together they are the
@@ -268,13 +269,14 @@ def retrieve(index: Index, hashes: np.ndarray, splits: np.ndarray, least: float)
     weakest = np.zeros(first[-1])
     np.maximum.at(weakest, window[~pivot], bound[~pivot])
     level = np.minimum(np.searchsorted(index.levels, weakest), LEVELS - 1)
+    opened = np.bincount(window, weights=index.post_at[term + 1] - index.post_at[term], minlength=first[-1])
+    weak_window, weak_term = window[~pivot], term[~pivot]
     window, term = window[pivot], term[pivot]
     # A run of passages at a time, so that the sums below stay small arrays.
     parts = len(index.part_of)
     width = parts // BLOCK_ITEMS + 1
     near: list[np.ndarray] = []
     run = max(1, SUMS // (width * BLOCK_ITEMS))
-    opened = np.bincount(window, weights=index.post_at[term + 1] - index.post_at[term], minlength=first[-1])
     for low, high in _runs(opened, run):
         a, b = np.searchsorted(window, (low, high))
         own_term, own_window = term[a:b], window[a:b] - low
@@ -284,28 +286,31 @@ def retrieve(index: Index, hashes: np.ndarray, splits: np.ndarray, least: float)
         block_rest = np.minimum(rest, index.block_low[own_level]).ravel()
         part_rest = np.minimum(rest, index.low[own_level]).ravel()
         # Blocks of the pivot terms' postings, bounded together per passage.
-        starts, counts = index.block_at[own_term], index.block_at[own_term + 1] - index.block_at[own_term]
-        owner, place = _spread(starts, counts)
-        cell = own_window[owner] * width + index.block_of[place]
+        owner, place, cell = _blocks(index, own_window, own_term, width)
         ceiling = np.bincount(cell, weights=index.block_max[place], minlength=n * width)
         live = (ceiling > 0) & (ceiling + block_rest >= least - eps)
         # Parts with a pivot term in a live block, bounded once more.
         kept = live[cell]
-        owner, place = owner[kept], place[kept]
-        owner2, place = _spread(index.post_of[place], index.post_of[place + 1] - index.post_of[place])
-        cell = own_window[owner[owner2]] * parts + index.post_part[place]
-        ceiling = np.bincount(cell, weights=index.weight[place], minlength=n * parts)
-        near.append(np.flatnonzero((ceiling > 0) & (ceiling + part_rest >= least - eps)) + low * parts)
+        cell, place = _postings(index, own_window[owner[kept]], place[kept])
+        pivots = np.bincount(cell, weights=index.weight[place], minlength=n * parts)
+        bounded = np.flatnonzero((pivots > 0) & (pivots + part_rest >= least - eps))
+        # Of the terms set aside, the blocks that hold such parts: what they add in fact.
+        at, part = np.divmod(bounded, parts)
+        live = np.zeros(n * width, dtype=bool)
+        live[at * width + part // BLOCK_ITEMS] = True
+        a, b = np.searchsorted(weak_window, (low, high))
+        own_term, own_window = weak_term[a:b], weak_window[a:b] - low
+        owner, place, cell = _blocks(index, own_window, own_term, width)
+        kept = live[cell]
+        cell, place = _postings(index, own_window[owner[kept]], place[kept])
+        total = pivots + np.bincount(cell, weights=index.weight[place], minlength=n * parts)
+        near.append(bounded[total[bounded] >= least - 2 * eps] + low * parts)
     # What is left is scored exactly, a bounded number of pairs at a time.
     unique = np.concatenate([*near, np.zeros(0, np.int64)])
     scores = [np.zeros(0)]
     for i in range(0, len(unique), SUMS // PART_WORDS):
         window, part = np.divmod(unique[i : i + SUMS // PART_WORDS], parts)
-        owner, place = _spread(index.own_at[part], index.own_at[part + 1] - index.own_at[part])
-        key = window[owner] * len(index.terms) + index.own_term[place]
-        at = np.minimum(np.searchsorted(held, key), len(held) - 1)
-        held_weight = np.where(held[at] == key, index.own_weight[place], 0.0)
-        scores.append(np.bincount(owner, weights=held_weight, minlength=len(window)))
+        scores.append(_scores(index, held, window, part))
     score = np.concatenate(scores)
     good = score >= least - eps
     window, part, score = unique[good] // parts, unique[good] % parts, score[good]
@@ -314,6 +319,27 @@ def retrieve(index: Index, hashes: np.ndarray, splits: np.ndarray, least: float)
     return begin, np.minimum(begin + 2 * PART_WORDS, splits[text + 1]), text, part, score
 
 
+def _scores(index: Index, held: np.ndarray, window: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """What the terms of each part add that its passage holds, by the sorted pairs `held`."""
+    owner, place = _spread(index.own_at[part], index.own_at[part + 1] - index.own_at[part])
+    key = window[owner] * len(index.terms) + index.own_term[place]
+    at = np.minimum(np.searchsorted(held, key), len(held) - 1)
+    held_weight = np.where(held[at] == key, index.own_weight[place], 0.0)
+    return np.bincount(owner, weights=held_weight, minlength=len(window))
+
+
+def _blocks(index: Index, window: np.ndarray, term: np.ndarray, width: int):
+    """Blocks of postings of each passage's terms: whose they are, their place and their cell."""
+    owner, place = _spread(index.block_at[term], index.block_at[term + 1] - index.block_at[term])
+    return owner, place, window[owner] * width + index.block_of[place]
+
+
+def _postings(index: Index, window: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cell of passage and part, and place, of the postings of some passages' blocks."""
+    owner, place = _spread(index.post_of[block], index.post_of[block + 1] - index.post_of[block])
+    return window[owner] * len(index.part_of) + index.post_part[place], place
+
+
 def _runs(opened: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of at most `most` passages that open at most `SUMS` postings, or are one passage."""
     total = np.cumsum(opened)
@@ -336,9 +362,12 @@ def find(index: Index, data: np.ndarray, offsets: np.ndarray, least_score: float
         return {}
     for key, score in zip(zip(texts.tolist(), index.part_of[parts].tolist(), strict=True), scores.tolist(), strict=True):
         best[key] = max(best.get(key, 0.0), score)
-    # Runs are looked up for all texts at once; few texts hold any of an item.
-    keys, shares = index.shares(hashes, splits)
+    # Runs are looked up for all texts with a retrieved item at once.
+    some = np.unique(texts)
+    _, place = _spread(splits[some], splits[some + 1] - splits[some])
+    keys, shares = index.shares(hashes[place], np.concatenate([[0], np.cumsum(splits[some + 1] - splits[some])]))
     text, side = np.divmod(keys, max(1, len(index.lengths)))
+    text = some[text]
     overlaps: dict[tuple[int, int], list[float]] = {}
     for t, x, share in zip(text.tolist(), side.tolist(), shares.tolist(), strict=True):
         overlaps.setdefault((t, x // 3), [0.0, 0.0, 0.0])[x % 3] = share

@@ -133,3 +133,28 @@ def test_question_or_answer_alone_is_found_at_any_length():
 def test_short_answers_do_not_decide_alone():
     item = " ".join(f"t{i}" for i in range(30)) + "? Yes."
     assert found(item, "they said yes to it") is None
+
+
+def test_few_pairs_are_scored_from_the_terms_of_the_item(monkeypatch):
+    """Common words, which items and clean texts share, must not bring every item to the exact scores."""
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(40)]
+    items = [" ".join([*rng.choices(common, k=30), *(f"r{rng.randrange(120)}" for _ in range(12))]) for _ in range(120)]
+    docs = [" ".join([*rng.choices(common, k=200), *(f"r{rng.randrange(120)}" for _ in range(60))]) for _ in range(60)]
+    docs += [" ".join([*rng.choices(common, k=40), item]) for item in items[:20]]
+    scored = []
+
+    def counted(index, held, window, part, scores=decontaminate._scores):
+        scored.append(len(part))
+        return scores(index, held, window, part)
+
+    monkeypatch.setattr(decontaminate, "_scores", counted)
+    index = decontaminate.Index(list(range(len(items))), 5).build(items)
+    reached = 0
+    for _, data, offsets in text_slices(pa.array(docs)):
+        hashes, splits = decontaminate.term_hashes(data, offsets)
+        reached += len(decontaminate.retrieve(index, hashes, splits, 0.5)[4])
+    assert reached >= 20
+    assert sum(scored) == reached
