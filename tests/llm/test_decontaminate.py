@@ -158,3 +158,11 @@ def test_few_pairs_are_scored_from_the_terms_of_the_item(monkeypatch):
         reached += len(decontaminate.retrieve(index, hashes, splits, 0.5)[4])
     assert reached >= 20
     assert sum(scored) == reached
+
+
+def test_slices_of_texts_are_small():
+    """A worker keeps arrays of many bytes for each byte of a slice."""
+    import pyarrow as pa
+
+    lengths = [len(data) for _, data, _ in text_slices(pa.array(["x" * 2000] * 1000))]
+    assert sum(lengths) == 2_000_000 and max(lengths) <= 1 << 18
