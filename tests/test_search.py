@@ -374,3 +374,24 @@ def test_run_all(spark, tables, folder, article):
     root = folder({"1": article("d", "open access", ""), "2": article("e", "closed", "")})
     got = by_query(run_all(tables, root, asked(spark, ["open access", "closed"])))
     assert [rows[0][1:] for rows in got.values()] == [(1, 9), (2, 4)]
+
+
+def test_blocks_that_cannot_rank_are_not_counted(monkeypatch):
+    """Documents come by size: once a set has its k, blocks of smaller ones are left out."""
+    monkeypatch.setattr(hits, "_DOCUMENTS", 2)
+    counted, block = [], hits._block
+
+    def count(rows, *args):
+        counted.append(rows.column("doc_id").to_pylist())
+        block(rows, *args)
+
+    monkeypatch.setattr(hits, "_block", count)
+    sizes = [3, 9, 1, 8, 2, 7, 9, 1]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array(range(8)), "grams": pa.array([[b"abc", b"xyz"]] * 8), "tfs": pa.array([[n, 1] for n in sizes])}
+    )
+    sets = pa.table({"set_no": [1], "grams": [[b"abc"]], "least": [0]})
+    for rows in (batch, next(hits.packed_documents(iter([batch])))):
+        out = pa.Table.from_batches(hits.top_hits(lambda: hits.sets_of(sets), 2)(iter([rows]))).to_pylist()
+        assert sorted((-r["hits"], r["doc_id"]) for r in out) == [(-9, 1), (-9, 6)]
+    assert counted == [[1, 6], [3, 5]] * 2
