@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from corpusloom.session import Workspace, even_tasks
@@ -18,3 +20,16 @@ def test_rows_of_few_bytes_are_no_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     work.clear()
+
+
+def test_work_tables_are_freed_without_jobs(spark, tmp_path):
+    work = Workspace(spark)
+    for name in ("a", "b"):
+        work.save(spark.range(5).toDF("k"), name)
+    spark.sparkContext.setJobGroup("freeing", "")
+    try:
+        work.clear()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("freeing")
+    assert not [f for _, _, names in os.walk(work.root) for f in names]
