@@ -1,7 +1,8 @@
-import os
+import threading
 
 from pyspark.sql import functions as F
 
+from corpusloom import session
 from corpusloom.session import Workspace, even_tasks
 from test_ingest import plan
 
@@ -22,14 +23,19 @@ def test_rows_of_few_bytes_are_no_broadcast(spark):
     work.clear()
 
 
-def test_work_tables_are_freed_without_jobs(spark, tmp_path):
+def test_work_tables_are_freed_side_by_side(spark, monkeypatch):
     work = Workspace(spark)
-    for name in ("a", "b"):
-        work.save(spark.range(5).toDF("k"), name)
-    spark.sparkContext.setJobGroup("freeing", "")
-    try:
-        work.clear()
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("freeing")
-    assert not [f for _, _, names in os.walk(work.root) for f in names]
+    kept = work.save(spark.range(5).toDF("k"), "kept")
+    saved = [work.save(spark.range(5).toDF("k"), name) for name in ("a", "b")]
+    both = threading.Barrier(2, timeout=60)
+    real = session.empty_frame
+
+    def wait(*args):
+        both.wait()
+        return real(*args)
+
+    monkeypatch.setattr(session, "empty_frame", wait)
+    work.release(*saved)
+    monkeypatch.undo()
+    assert kept.count() == 5 and sum(spark.read.parquet(f"{work.root}/{n}").count() for n in ("01-a", "02-b")) == 0
+    work.clear()
